@@ -6,9 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from newsweft.operators import timestamps
+from newsweft.sources.tables import table
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timestamps.found(table(spark, sf_dir, "articles"), table(spark, sf_dir, "outlets"))
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {"p6_found": p6_found}
 
 
 def oracle_sql() -> dict[str, str]:
