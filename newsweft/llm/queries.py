@@ -11,6 +11,18 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newsweft.llm.lookalike import found
+
+    return found(_t(spark, sf_dir, "articles"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newsweft.llm.repeated_lines import found
+
+    return found(_t(spark, sf_dir, "articles"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from newsweft.llm.tokenize import encode_corpus
 
@@ -18,7 +30,7 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p8_ids": p8_ids}
+    return {"p4_found": p4_found, "p5_found": p5_found, "p8_ids": p8_ids}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -18,7 +18,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from newsweft.session import cut_lineage
@@ -50,12 +50,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def _encode_words(path: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
         coder = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=read_ranks(path), special_tokens={})
         for batch in batches:
-            yield batch.assign(ids=[coder.encode_ordinary(w) for w in batch["word"]])
+            ids = pa.array([coder.encode_ordinary(w) for w in batch.column("word").to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), ids], ["word", "n", "ids"])
 
     return run
 
@@ -72,7 +73,7 @@ def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = docs.select(id_col, text_col).dropDuplicates([id_col])
     rows = pretokens(docs, id_col, text_col)
     counted = rows.groupBy("word").agg(F.count("*").alias("n"))
-    words = cut_lineage(counted.mapInPandas(_encode_words(path), "word string, n long, ids array<int>"))
+    words = cut_lineage(counted.mapInArrow(_encode_words(path), "word string, n long, ids array<int>"))
     total = words.agg(F.sum("n")).first()[0] or 0
     hot = words.where(F.col("n") >= F.lit(max(total * HOT_SHARE, 1000.0))).select("word", F.col("ids").alias("hot_ids"))
     rest = words.where(F.col("n") < F.lit(max(total * HOT_SHARE, 1000.0))).select("word", "ids")
