@@ -29,8 +29,14 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(_t(spark, sf_dir, "documents"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newsweft.llm.leakage import leaked_items
+
+    return leaked_items(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "eval_items"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p4_found": p4_found, "p5_found": p5_found, "p8_ids": p8_ids}
+    return {"p4_found": p4_found, "p5_found": p5_found, "p8_ids": p8_ids, "p9_found": p9_found}
 
 
 def oracle_sql() -> dict[str, str]:
