@@ -23,6 +23,12 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found(_t(spark, sf_dir, "articles"))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newsweft.llm.boilerplate import found
+
+    return found(_t(spark, sf_dir, "articles"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from newsweft.llm.tokenize import encode_corpus
 
@@ -36,7 +42,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p4_found": p4_found, "p5_found": p5_found, "p8_ids": p8_ids, "p9_found": p9_found}
+    return {"p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -41,11 +41,12 @@ _DROP = re.compile("[^\\w\n\u0610-\u061a\u064b-\u065f\u0900-\u0963\u0966-\u0dff\
 
 def line_keys(body: str | None) -> list[int]:
     """A key for each line; 0 for lines without a letter."""
+    return keys_of_folded(fold_text(body)) if body else []
+
+
+def keys_of_folded(text: str) -> list[int]:
     from xxhash import xxh3_64_intdigest
 
-    if not body:
-        return []
-    text = fold_text(body)
     packed = text.encode().translate(None, _DROP_ASCII) if text.isascii() else _DROP.sub("", text).encode("utf-8", "surrogatepass")
     return [xxh3_64_intdigest(x) - (1 << 63) if x else 0 for x in packed.split(b"\n")]
 
