@@ -43,6 +43,7 @@ SECTIONS = set(
 CUES = {
     "byline": [r"(?:by|par) (?:\S+ ){0,5}\S+$", r"la rédaction, .{1,60}$", r"本文由.{1,40}(?:提供|报道)$"],
     "credit": [r"photos? ?:", r"illustrations? ?(?::|of |de )", r"(?:with files|with reporting) (?:from|by) ", r"avec (?:la collaboration|des informations) d", r"(?:图片|写真|फोटो|صورة|ภาพ) ?[::]", r"this (?:article|story|report|piece) was (?:reported|written|produced) by "],
+    "note": [r".{3,70} is an? .{2,50} and writes (?:about|for) ", r".{3,70} is an? (?:reporter|columnist|journalist|editor) (?:with|at|for) ", r".{3,70} est .{2,50} et (?:écrit|signe une chronique) "],
     "correction": [r"(?:corrections?|clarification|rectificatif|précision|更正|訂正|सुधार|تصحيح|แก้ไข) ?:"],
     "copyright": [r"© ?\d", r"copyright ", r"版权所有", r"this material may not be (?:published|reproduced)", r"toute reproduction ", r"(?:all rights reserved|tous droits réservés)"],
     "cookies": [r"(?:we use|this site (?:uses|stores)|cookies help us|we and our \d+ partners|by continuing you accept) ?(?:.*cookies)?", r"(?:nous utilisons des|ce site emploie des|nos \d+ partenaires déposent des) témoins", r"les témoins (?:servent|nous aident|permettent)", r"(?:en poursuivant|en continuant), vous acceptez"],

@@ -11,6 +11,12 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newsweft.llm.sentences import found
+
+    return found(_t(spark, sf_dir, "articles"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from newsweft.llm.lookalike import found
 
@@ -42,7 +48,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found}
+    return {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found}
 
 
 def oracle_sql() -> dict[str, str]:
