@@ -11,6 +11,12 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newsweft.llm.names import found
+
+    return found(_t(spark, sf_dir, "articles"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from newsweft.llm.near_duplicates import found
 
@@ -54,7 +60,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found}
 
 
 def oracle_sql() -> dict[str, str]:
