@@ -59,8 +59,20 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "eval_items"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newsweft.llm.toxicity import found
+
+    return found(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "content_labels"))
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from newsweft.llm.toxicity import source_rates
+
+    return source_rates(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "content_labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_rates": p10_rates}
 
 
 def oracle_sql() -> dict[str, str]:
