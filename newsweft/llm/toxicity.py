@@ -181,7 +181,7 @@ def fit(docs: list[tuple[str, float]]) -> tuple[Model, float] | None:
         if any(label > 0.5 for _, label in rest) and any(label <= 0.5 for _, label in rest):
             model = _fit(rest)
             held += [(max(map(model.score, s)), label > 0.5) for s, label in split[half::2]]
-    threshold = 0.3
+    threshold = 3.0
     if sum(y for _, y in held) >= 50:
         held.sort(reverse=True)
         positives, hits, best = sum(y for _, y in held), 0, 0.0
