@@ -12,13 +12,14 @@ def parse_span(text: Column) -> Column:
 
 
 def overlap(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> Column:
-    """Characters that two spans share; at least zero."""
-    return F.greatest(F.least(a_end, b_end) - F.greatest(a_start, b_start), F.lit(0))
+    """Characters that two spans share; at least zero, null if a bound is."""
+    known = (a_start + a_end + b_start + b_end).isNotNull()  # least and greatest pass over nulls
+    return F.when(known, F.greatest(F.least(a_end, b_end) - F.greatest(a_start, b_start), F.lit(0)))
 
 
 def covers(a_start: Column, a_end: Column, b_start: Column, b_end: Column, least: int = 2) -> Column:
-    """Whether two spans share at least ``least`` characters."""
-    return F.least(a_end, b_end) - F.greatest(a_start, b_start) >= least
+    """Whether two spans share at least ``least`` characters; null if a bound is."""
+    return (a_end - b_start >= least) & (b_end - a_start >= least) & (a_end - a_start >= least) & (b_end - b_start >= least)
 
 
 def overlap_share(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> Column:

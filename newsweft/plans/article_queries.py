@@ -408,7 +408,7 @@ SQL = {
     "alias_merged_top_sources": BASE + ", c AS (SELECT 'female' AS gender, unnest(sourcesFemale) AS name FROM ok UNION ALL SELECT 'male', unnest(sourcesMale) FROM ok), al(primary_name, alias) AS (VALUES " + ", ".join(f"('{p}', '{a}')" for p, a in ALIASES) + "), m AS (SELECT gender, coalesce(primary_name, name) AS name, count(*)::BIGINT AS count FROM c LEFT JOIN al ON name = alias GROUP BY 1, 2) SELECT gender, name, count, rank FROM (SELECT *, row_number() OVER (PARTITION BY gender ORDER BY count DESC, name)::INT AS rank FROM m) WHERE rank <= 15",
     "quote_type_shares": _QROWS + " SELECT quote_type, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 3) AS percent FROM sp GROUP BY 1",
     "quote_spans": _QROWS + " SELECT quote_type, count(*) AS n, sum(t2 - t1)::BIGINT AS quote_chars, sum(s2 - s1)::BIGINT AS speaker_chars, sum((s1 IS NULL)::INT)::BIGINT AS no_speaker FROM sp GROUP BY 1",
-    "speaker_alignment": _QROWS + ", h AS (SELECT a.doc, a.quote, b.speaker, row_number() OVER (PARTITION BY a.doc, a.quote ORDER BY b.speaker, b.s1) AS rn FROM sp a JOIN sp b ON a.doc = b.doc AND b.speaker <> '' AND least(a.s2, b.s2) - greatest(a.s1, b.s1) >= 2) SELECT sp.doc, sp.quote::INT AS quote, h.speaker AS entity FROM sp LEFT JOIN (SELECT * FROM h WHERE rn = 1) h ON sp.doc = h.doc AND sp.quote = h.quote",
+    "speaker_alignment": _QROWS + ", h AS (SELECT a.doc, a.quote, b.speaker, row_number() OVER (PARTITION BY a.doc, a.quote ORDER BY b.speaker, b.s1) AS rn FROM sp a JOIN sp b ON a.doc = b.doc AND b.speaker <> '' AND a.s1 IS NOT NULL AND b.s1 IS NOT NULL AND least(a.s2, b.s2) - greatest(a.s1, b.s1) >= 2) SELECT sp.doc, sp.quote::INT AS quote, h.speaker AS entity FROM sp LEFT JOIN (SELECT * FROM h WHERE rn = 1) h ON sp.doc = h.doc AND sp.quote = h.quote",
     "floating_reference": _QROWS + ", z AS (SELECT doc, quote, t1, CASE WHEN quote % 3 = 2 THEN '' ELSE speaker END AS speaker FROM sp) SELECT doc, quote::INT AS quote, CASE WHEN coalesce(speaker <> '', false) THEN speaker ELSE last_value(nullif(speaker, '') IGNORE NULLS) OVER (PARTITION BY doc ORDER BY t1 NULLS FIRST, quote ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS reference FROM z",
     "list_eval_metrics": BASE + ", s AS (SELECT outlet, sum(len(list_intersect(people, sources)))::BIGINT AS tp, sum(len(list_filter(list_distinct(sources), lambda x: NOT list_contains(people, x))))::BIGINT AS fp, sum(len(list_filter(list_distinct(people), lambda x: NOT list_contains(sources, x))))::BIGINT AS fn FROM ok GROUP BY 1), r AS (SELECT *, 100.0*tp/nullif(tp+fp,0) AS p, 100.0*tp/nullif(tp+fn,0) AS q FROM s) SELECT outlet, tp, fp, fn, round(p,3) AS precision, round(q,3) AS recall, round(2*p*q/nullif(p+q,0),3) AS f1 FROM r",
     "gender_ratio": BASE + " SELECT outlet, " + ", ".join(f"round(coalesce(sum(sources{c}Count)::DOUBLE / nullif(sum(sourcesFemaleCount+sourcesMaleCount+sourcesUnknownCount), 0), 0), 3) AS {c.lower()}" for c in ("Female", "Male", "Unknown")) + " FROM ok GROUP BY 1",

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 def folder_texts(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """(id, text) of every file; the id is the name up to its first dot. Unreadable files are passed over."""
-    df = spark.read.option("ignoreCorruptFiles", "true").option("wholetext", "true").text(path)
+    df = spark.read.option("ignoreCorruptFiles", "true").text(path, wholetext=True)
     out = df.select(F.regexp_extract(F.input_file_name(), r"([^/.]+)[^/]*$", 1).alias("id"), F.col("value").alias("text"))
     return out.orderBy("id").limit(limit) if limit else out
 
