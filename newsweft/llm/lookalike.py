@@ -3,8 +3,8 @@
 Look-alike relations between strings and code points (full-width forms and ligatures with
 their parts, letters with combining accents and the composed letters, kinds of spaces, of
 hyphens, invisible characters and nothing, letters of related alphabets) are closed to
-transitive classes by union-find. Of every class the member most frequent in the corpus
-becomes the representative (ties: the simplest). A text is rewritten greedily, leftmost and
+transitive classes by union-find. Of every class the ordinary member most frequent in the
+corpus becomes the representative; compatibility forms never do, plain ASCII goes first. A text is rewritten greedily, leftmost and
 longest first, by an Aho-Corasick automaton over all other members. Members that are letters
 of another alphabet are rewritten only inside words that mix alphabets, towards the alphabet
 most of the word's letters have; words wholly in one alphabet stay.
@@ -132,7 +132,7 @@ class Rewriter:
         self.across: set[str] = set()
         self.by_class: dict[str, dict[str, str]] = {}
         for group in classes.members().values():
-            rank = lambda x: (-often(x), unicodedata.normalize("NFKC", x) != x, not x.isascii(), len(x), x)
+            rank = lambda x: (unicodedata.normalize("NFKC", x) != x, not x.isascii(), -often(x), len(x), x)
             best = "" if "" in group else min(group, key=rank)
             own = {}
             for x in sorted(group, key=rank):

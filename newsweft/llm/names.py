@@ -5,8 +5,9 @@ and possessives, and read as a person (given name, surname), a person with initi
 organisation or an acronym. Strings with one reading share a node. Nodes meet in blocks of
 phonetic codes of their tokens in sorted or surname order, are compared by Jaro-Winkler and
 edit distance plus a table of nicknames, and accepted pairs are clustered by connected
-components. Forms with initials and acronyms would tie different entities together, so they
-join a cluster afterwards, and only if one cluster alone fits.
+components. Forms with initials, nicknames that are short for several names, and acronyms would
+tie different entities together, so they join a cluster afterwards, and only if one cluster
+alone fits.
 
 Which tokens are given names is learned from all strings: those that stand before at least
 ``MIN_SURNAMES`` different surnames, and not much fewer than other given names do. Two such names
@@ -210,16 +211,16 @@ def read_name(text: str, known: frozenset[str]) -> tuple[str, list[str]] | None:
         first, last = last, first
     if re.fullmatch(r"[a-z]", last):
         return "i", [last, first]
-    return "p", [first, last.replace("'", "")]
+    return "k" if len(formal(first)) > 2 else "p", [first, last.replace("'", "")]
 
 
 def block_keys(kind: str, parts: list[str]) -> list[str]:
-    if kind in "pi":
+    if kind in "pik":
         first, surname = parts
-        letters = {g[0] for g in formal(first)} if kind == "p" else {first[0]}
+        letters = {g[0] for g in formal(first)} if kind != "i" else {first[0]}
         codes = {f"c{phonetic(surname)}", f"h{phonetic(surname[:5])}", f"t{phonetic(surname[-5:])}"}
         keys = [f"{c}|{x}" for c in codes for x in letters]
-        return keys + [f"s{surname}"] if kind == "p" else keys
+        return keys + [f"s{surname}"] if kind != "i" else keys
     if kind == "o":
         codes = [phonetic(w) for w in parts]
         return [f"o1{'-'.join(sorted(codes))}", f"o2{parts[0]}|{len(parts)}", f"o3{'-'.join(codes[-2:])}|{len(parts)}", f"o4{'-'.join(codes[1:3])}|{len(parts)}"]
@@ -227,7 +228,7 @@ def block_keys(kind: str, parts: list[str]) -> list[str]:
 
 
 def alike(kind: str, a: list[str], b: list[str], known: frozenset[str]) -> bool:
-    if kind == "p":
+    if kind in "pk":
         return close(a[1], b[1]) and same_given(a[0], b[0], known)
     if kind == "o" and len(a) == len(b):
         return all(x == y or short_for(x, y) or (len(x) > 3 and close(x, y)) for x, y in zip(a, b)) and sum(x == y for x, y in zip(a, b)) >= len(a) - 2
@@ -281,7 +282,10 @@ def _compare(known: frozenset[str]):
             keep = []
             for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
                 (kind, *x), (other, *y) = a.split("|"), b.split("|")
-                keep.append(alike(kind, x, y, known) if kind == other else kind == "i" and other == "p" and fits_initials(x, y))
+                if kind == other:
+                    keep.append(alike(kind, x, y, known))
+                else:
+                    keep.append(other == "p" and (fits_initials(x, y) if kind == "i" else kind == "k" and alike("p", x, y, known)))
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -293,20 +297,21 @@ def name_clusters(strings: DataFrame) -> DataFrame:
     read = cut_lineage(strings.select("name").mapInArrow(_read(known), "name string, kind string, node string, keys array<string>"))
     nodes = read.select("node", "kind", "keys").dropDuplicates(["node"])
     keyed = nodes.select("node", "kind", F.explode("keys").alias("key"))
-    full = keyed.where("kind in ('p', 'o')")
-    met = full.select(F.col("node").alias("a"), "key").join(full.select(F.col("node").alias("b"), "key"), "key").where("a < b").select("a", "b").distinct()
+    full = keyed.where("kind in ('p', 'k', 'o')")
+    met = full.select(F.col("node").alias("a"), "kind", "key").join(full.select(F.col("node").alias("b"), "kind", "key"), ["kind", "key"]).where("a < b").select("a", "b").distinct()
     edges = met.mapInArrow(_compare(known), "a string, b string")
     joined = connected_components(cut_lineage(edges))
     clusters = nodes.select("node", "kind").join(joined, "node", "left").select("node", "kind", F.coalesce("comp", "node").alias("cluster"))
     clusters = cut_lineage(clusters)
 
-    initials = keyed.where("kind = 'i'").select(F.col("node").alias("a"), "key").join(keyed.where("kind = 'p'").select(F.col("node").alias("b"), "key"), "key").select("a", "b").distinct()
-    fits = initials.mapInArrow(_compare(known), "a string, b string").join(clusters.select(F.col("node").alias("b"), "cluster"), "b").select("a", "cluster")
+    loose = keyed.where("kind in ('i', 'k')").select(F.col("node").alias("a"), "key").join(keyed.where("kind = 'p'").select(F.col("node").alias("b"), "key"), "key").select("a", "b").distinct()
+    own = clusters.select(F.col("node").alias("a"), F.col("cluster").alias("loose"))
+    fits = loose.mapInArrow(_compare(known), "a string, b string").join(clusters.select(F.col("node").alias("b"), "cluster"), "b").join(own, "a").select("loose", "cluster")
     tokens = F.split(F.col("node"), "\\|")
     short = F.concat(F.lit("a|"), F.array_join(F.transform(F.slice(tokens, 2, 20), lambda w: F.substring(w, 1, 1)), ""))
-    acronyms = clusters.where("kind = 'o'").select(short.alias("a"), "cluster").join(clusters.where("kind = 'a'").select(F.col("node").alias("a")), "a")
-    one = fits.unionByName(acronyms).groupBy("a").agg(F.count_distinct("cluster").alias("n"), F.min("cluster").alias("own")).where("n = 1").select(F.col("a").alias("node"), "own")
-    final = clusters.join(one, "node", "left").select("node", F.coalesce("own", "cluster").alias("cluster"))
+    acronyms = clusters.where("kind = 'o'").select(short.alias("loose"), "cluster").join(clusters.where("kind = 'a'").select(F.col("node").alias("loose")), "loose")
+    one = fits.unionByName(acronyms).groupBy("loose").agg(F.count_distinct("cluster").alias("n"), F.min("cluster").alias("own")).where("n = 1").select(F.col("loose").alias("cluster"), "own")
+    final = clusters.join(one, "cluster", "left").select("node", F.coalesce("own", "cluster").alias("cluster"))
     return read.where("kind <> 'x'").select("name", "node").join(final, "node").select("name", "cluster")
 
 
