@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsweft.functions import text as tx, url as ux
-from newsweft.operators import corpus, entities, evaluation, gender, quotes, serving, stats, upsert
+from newsweft.functions import dates, text as tx, url as ux
+from newsweft.operators import analyzer, corpus, entities, evaluation, gender, ingest, predicates as pr, quotes, serving, stats, upsert
 from newsweft.operators.predicates import COHORTS
 from newsweft.sources.tables import table
 
@@ -363,7 +363,58 @@ def cache_write_back(spark, d):
     return gender.cache_updates(table(spark, d, "gender_cache").where("name is not null and gender is not null").select("name", "gender"))
 
 
+def stage_gate(spark, d):
+    """Articles that wait for quotes, and those that wait for annotation."""
+    rows = _one(spark, d, "lastModifier", "quotes", "quotesUpdated")
+    waits = F.when(pr.stage("mediaCollectors", "quotes"), "quotes").when(pr.stage("quote_extractor", "quotesUpdated") | pr.stage("quote_extractor_fr", "quotesUpdated"), "annotation")
+    return rows.withColumn("waits", waits).where("waits is not null").select("_id", "waits")
+
+
+def speaker_overlap_counts(spark, d):
+    """Speakers of updated against original quotes, counted many to many."""
+    a = _ok(spark, d, "quotes", "quotesUpdated")
+    span = lambda f: entities.quote_rows(a, f).where("s is not null").select("doc", F.col("s.start").alias("start"), F.col("s.end").alias("end"))
+    return evaluation.overlap_counts(span("quotesUpdated"), span("quotes"))
+
+
+def url_new(spark, d):
+    """Later articles whose address stands under no spelling among the earlier ones."""
+    rows = table(spark, d, "articles").where("url is not null").select("url", (F.dayofmonth("lastModified") <= 15).alias("early"))
+    return ingest.new_articles(rows.where("not early").select("url"), rows.where("early").select("url")).select(ux.identity(F.col("url")).alias("identity"))
+
+
+def crawl_outcomes(spark, d):
+    rows = table(spark, d, "articles").where("url is not null").select("url", "body", (F.dayofmonth("lastModified") <= 15).alias("early"))
+    early = rows.where("early").select("url")
+    return ingest.tally(ingest.classify(rows, early, early.limit(0)))
+
+
+def month_labels(spark, d):
+    day = F.to_date("publishedAt")
+    return _daily(spark, d).select(dates.month_id(day).alias("id"), dates.month_label(day).alias("label"), dates.month_label(day, True).alias("short"), dates.week_number(day).alias("week"), day.alias("day")).distinct()
+
+
+def crawl_dates(spark, d):
+    rows = table(spark, d, "articles").select("publishedAt").distinct()
+    return rows.select("publishedAt", F.date_format(dates.crawl_date(F.col("publishedAt")), "yyyy-MM-dd HH:mm:ss").alias("read")).where("read is not null")
+
+
+def outlet_records(spark, d):
+    """Weekly rows of each outlet as one list, as a service returns them."""
+    w = weekly_info(spark, d)
+    row = F.to_json(F.struct("weekBegin", "weekEnd", "totalFemales", "totalMales", "totalUnknowns"))
+    return w.groupBy("outlet").agg(F.array_join(F.array_sort(F.collect_list(row)), ";").alias("rows"), F.count("*").alias("weeks"))
+
+
+def text_analysis(spark, d):
+    """People and sources of each text by gender, from the text alone."""
+    cache = table(spark, d, "gender_cache").where("name is not null")
+    rows = _one(spark, d, "body")
+    return analyzer.analyze(rows, [gender.name_cache(cache)], [gender.first_name_cache(cache)])[1]
+
+
 SPARK = {
+    "stage_gate": stage_gate, "speaker_overlap_counts": speaker_overlap_counts, "url_new": url_new, "crawl_outcomes": crawl_outcomes, "month_labels": month_labels, "crawl_dates": crawl_dates, "outlet_records": outlet_records, "text_analysis": text_analysis,
     "db_stats": db_stats, "outlet_stats": outlet_stats,
     "top_sources_female": _top(["sourcesFemale"]), "top_sources_male": _top(["sourcesMale"]), "top_sources_unknown": _top(["sourcesUnknown"]), "top_sources_all": _top(["sourcesFemale", "sourcesMale"]), "bottom_sources_female": _top(["sourcesFemale"], 100, True),
     **{f"{c}_author_sources": _cohort(c) for c in COHORTS},
@@ -381,7 +432,18 @@ SPARK = {
 _AUTH = f"WITH {LATEST}, a AS (SELECT _id, list_distinct(list_filter(authors, lambda x: x <> '')) AS l FROM art WHERE authors IS NOT NULL)"
 _BL = "[" + ", ".join(f"'{w.lower()}'" for w in BLOCKLIST) + "]"
 
+_BARE = "publishedAt"
+for _m in dates.ZONE_MARKS:
+    _BARE = f"replace({_BARE}, '{_m}', '')"
+_BARE = f"regexp_replace(trim({_BARE}), '^[A-Za-z]{{3}}, ', '')"
+
 SQL = {
+    "stage_gate": f"WITH {LATEST} SELECT * FROM (SELECT _id, CASE WHEN lastModifier = 'mediaCollectors' AND quotes IS NULL THEN 'quotes' WHEN lastModifier IN ('quote_extractor', 'quote_extractor_fr') AND quotesUpdated IS NULL THEN 'annotation' END AS waits FROM art) WHERE waits IS NOT NULL",
+    "speaker_overlap_counts": BASE + ", x AS (SELECT _id, unnest(quotesUpdated) AS q FROM ok), y AS (SELECT _id, unnest(quotes) AS q FROM ok), sx AS (SELECT _id, regexp_extract(q.speaker_index, '(\\d+), ?(\\d+)', 1)::INT AS a, regexp_extract(q.speaker_index, '(\\d+), ?(\\d+)', 2)::INT AS b FROM x WHERE q.speaker_index SIMILAR TO '\\(\\d+, ?\\d+\\)'), sy AS (SELECT _id, regexp_extract(q.speaker_index, '(\\d+), ?(\\d+)', 1)::INT AS c, regexp_extract(q.speaker_index, '(\\d+), ?(\\d+)', 2)::INT AS d FROM y WHERE q.speaker_index SIMILAR TO '\\(\\d+, ?\\d+\\)'), t AS (SELECT count(*) AS tp FROM sx JOIN sy USING (_id) WHERE least(b, d) - greatest(a, c) >= 2) SELECT tp, (SELECT count(*) FROM sx) - tp AS fn, (SELECT count(*) FROM sy) - tp AS fp FROM t",
+    "url_new": f"WITH u AS (SELECT DISTINCT {_IDENT} AS identity, dayofmonth(lastModified AT TIME ZONE 'UTC') <= 15 AS early FROM articles WHERE url IS NOT NULL) SELECT identity FROM u WHERE NOT early AND identity NOT IN (SELECT identity FROM u WHERE early)",
+    "crawl_outcomes": f"WITH u AS (SELECT {_IDENT} AS identity, body, dayofmonth(lastModified AT TIME ZONE 'UTC') <= 15 AS early FROM articles WHERE url IS NOT NULL) SELECT CASE WHEN identity IN (SELECT identity FROM u WHERE early) THEN 'URL Present' WHEN body IS NULL OR trim(body) = '' THEN 'Invalid Body' ELSE 'Inserted' END AS status, count(*) AS n FROM u GROUP BY 1",
+    "month_labels": "SELECT DISTINCT strftime(publishedAt::DATE, '%Y%m') AS id, strftime(publishedAt::DATE, '%B %Y') AS label, strftime(publishedAt::DATE, '%b-%Y') AS short, strftime(publishedAt::DATE, '%U')::INT AS week, publishedAt::DATE AS day FROM media_daily",
+    "crawl_dates": f"SELECT publishedAt, strftime(coalesce(try_strptime({_BARE}, '%d %b %Y %H:%M:%S'), try_strptime({_BARE}, '%Y-%m-%d %H:%M:%S')), '%Y-%m-%d %H:%M:%S') AS read FROM (SELECT DISTINCT publishedAt FROM articles) WHERE coalesce(try_strptime({_BARE}, '%d %b %Y %H:%M:%S'), try_strptime({_BARE}, '%Y-%m-%d %H:%M:%S')) IS NOT NULL",
     "db_stats": f"{BASE} SELECT * FROM (SELECT count(*) AS totalArticles, coalesce(sum(quoteCount),0)::BIGINT AS totalQuotes, {_sum_sql(('people', 'sources'))} FROM ok) WHERE totalArticles > 0",
     "outlet_stats": f"{BASE} SELECT outlet, count(*) AS totalArticles, coalesce(sum(quoteCount),0)::BIGINT AS totalQuotes, {_sum_sql(('people', 'sources'))} FROM ok GROUP BY 1",
     "top_sources_female": _top_sql(["sourcesFemale"]), "top_sources_male": _top_sql(["sourcesMale"]), "top_sources_unknown": _top_sql(["sourcesUnknown"]), "top_sources_all": _top_sql(["sourcesFemale", "sourcesMale"]), "bottom_sources_female": _top_sql(["sourcesFemale"], 100, "ASC"),
