@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,3 +39,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     and the loss of an executor costs nothing."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package once per application, wherever it is installed on the driver.
+
+    Spark serves the archive to every executor, late and replaced ones included.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_newsweft_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="newsweft-")) / "newsweft.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._newsweft_shipped = True
