@@ -137,8 +137,8 @@ def close(a: str, b: str) -> bool:
     short = min(len(a), len(b))
     if short < 3:
         return False
-    most = 1 if short < 9 else 2
-    return edits(a, b, most) <= most and jaro_winkler(a, b) >= (0.75 if short < 5 else 0.85)
+    far = edits(a, b, 1 if short < 9 else 2)
+    return far <= (1 if short < 9 else 2) and jaro_winkler(a, b) >= (0.72 if far == 1 else 0.88)  # repeated letters lower it
 
 
 def same_given(a: str, b: str, known: frozenset[str]) -> bool:
