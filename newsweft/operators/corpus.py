@@ -25,9 +25,7 @@ def keyness(first: DataFrame, second: DataFrame, smooth: float = 0.5) -> DataFra
     """(word, n1, n2, log_ratio): binary logarithm of the ratio of relative frequencies, with add-``smooth``."""
     a, b = first.select("word", F.col("n").alias("n1")), second.select("word", F.col("n").alias("n2"))
     both = a.join(b, "word", "full").fillna(0)
-    w = Window.partitionBy()
     sizes = both.agg(F.sum("n1").alias("t1"), F.sum("n2").alias("t2"))
-    del w
     joined = both.withColumn("k", F.lit(1)).join(F.broadcast(sizes.withColumn("k", F.lit(1))), "k")
     ratio = F.log2(((F.col("n1") + smooth) / (F.col("t1") + smooth)) / ((F.col("n2") + smooth) / (F.col("t2") + smooth)))
     return joined.select("word", "n1", "n2", ratio.alias("log_ratio"))
