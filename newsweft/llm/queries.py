@@ -71,8 +71,48 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_rates(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "content_labels"))
 
 
+def _bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "articles").select("_id", "outlet", "body").dropDuplicates(["_id"])
+
+
+def p1_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every name with its cluster."""
+    from newsweft.llm.names import distinct_names, name_clusters
+    from newsweft.session import cut_lineage
+
+    return name_clusters(cut_lineage(distinct_names(_t(spark, sf_dir, "articles"))))
+
+
+def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every story with its class and number of links."""
+    from newsweft.llm.near_duplicates import near_duplicate_classes
+
+    return near_duplicate_classes(_t(spark, sf_dir, "articles"))
+
+
+def p4_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every body in one consistent form."""
+    from newsweft.llm.lookalike import canonicalise
+
+    return canonicalise(_bodies(spark, sf_dir).select("_id", "body"), "body")
+
+
+def p5_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every body without the lines its outlet repeats."""
+    from newsweft.llm.repeated_lines import remove_repeated_lines
+
+    return remove_repeated_lines(_bodies(spark, sf_dir)).select("_id", "body")
+
+
+def p7_story(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the story of every body."""
+    from newsweft.llm.boilerplate import main_text
+
+    return main_text(_bodies(spark, sf_dir)).select("_id", "body")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_rates": p10_rates}
+    return {"p1_found": p1_found, "p1_clusters": p1_clusters, "p2_classes": p2_classes, "p4_text": p4_text, "p5_clean": p5_clean, "p7_story": p7_story, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_rates": p10_rates}
 
 
 def oracle_sql() -> dict[str, str]:
