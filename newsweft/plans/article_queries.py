@@ -216,7 +216,7 @@ def daily_female_share_trend(spark, d):
     return _rounded(serving.trend(serving.female_share(_daily(spark, d))), "slope").withColumn("intercept", F.round("intercept", 3))
 
 
-_SHARE = "sh AS (SELECT outlet, day, 100.0*f/(f+m+u) AS share FROM (SELECT outlet, publishedAt::DATE AS day, sum(totalFemales) f, sum(totalMales) m, sum(totalUnknowns) u FROM media_daily WHERE {w} GROUP BY 1,2) WHERE f+m+u > 0)"
+_SHARE = "sh AS (SELECT outlet, day, 100.0*f/(f+m+u) AS share FROM (SELECT outlet, (publishedAt AT TIME ZONE 'UTC')::DATE AS day, sum(totalFemales) f, sum(totalMales) m, sum(totalUnknowns) u FROM media_daily WHERE {w} GROUP BY 1,2) WHERE f+m+u > 0)"
 _FILLED = "grid AS (SELECT o.outlet, g.day FROM (SELECT DISTINCT outlet FROM sh) o, (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day FROM sh) g), fil AS (SELECT grid.outlet, grid.day, coalesce(share, 0.0) AS share FROM grid LEFT JOIN sh USING (outlet, day))"
 
 
@@ -442,7 +442,7 @@ SQL = {
     "speaker_overlap_counts": BASE + ", x AS (SELECT _id, unnest(quotesUpdated) AS q FROM ok), y AS (SELECT _id, unnest(quotes) AS q FROM ok), sx AS (SELECT _id, regexp_extract(q.speaker_index, '(\\d+), ?(\\d+)', 1)::INT AS a, regexp_extract(q.speaker_index, '(\\d+), ?(\\d+)', 2)::INT AS b FROM x WHERE q.speaker_index SIMILAR TO '\\(\\d+, ?\\d+\\)'), sy AS (SELECT _id, regexp_extract(q.speaker_index, '(\\d+), ?(\\d+)', 1)::INT AS c, regexp_extract(q.speaker_index, '(\\d+), ?(\\d+)', 2)::INT AS d FROM y WHERE q.speaker_index SIMILAR TO '\\(\\d+, ?\\d+\\)'), t AS (SELECT count(*) AS tp FROM sx JOIN sy USING (_id) WHERE least(b, d) - greatest(a, c) >= 2) SELECT tp, (SELECT count(*) FROM sx) - tp AS fn, (SELECT count(*) FROM sy) - tp AS fp FROM t",
     "url_new": f"WITH u AS (SELECT DISTINCT {_IDENT} AS identity, dayofmonth(lastModified AT TIME ZONE 'UTC') <= 15 AS early FROM articles WHERE url IS NOT NULL) SELECT identity FROM u WHERE NOT early AND identity NOT IN (SELECT identity FROM u WHERE early)",
     "crawl_outcomes": f"WITH u AS (SELECT {_IDENT} AS identity, body, dayofmonth(lastModified AT TIME ZONE 'UTC') <= 15 AS early FROM articles WHERE url IS NOT NULL) SELECT CASE WHEN identity IN (SELECT identity FROM u WHERE early) THEN 'URL Present' WHEN body IS NULL OR trim(body) = '' THEN 'Invalid Body' ELSE 'Inserted' END AS status, count(*) AS n FROM u GROUP BY 1",
-    "month_labels": "SELECT DISTINCT strftime(publishedAt::DATE, '%Y%m') AS id, strftime(publishedAt::DATE, '%B %Y') AS label, strftime(publishedAt::DATE, '%b-%Y') AS short, strftime(publishedAt::DATE, '%U')::INT AS week, publishedAt::DATE AS day FROM media_daily",
+    "month_labels": "SELECT DISTINCT strftime((publishedAt AT TIME ZONE 'UTC')::DATE, '%Y%m') AS id, strftime((publishedAt AT TIME ZONE 'UTC')::DATE, '%B %Y') AS label, strftime((publishedAt AT TIME ZONE 'UTC')::DATE, '%b-%Y') AS short, strftime((publishedAt AT TIME ZONE 'UTC')::DATE, '%U')::INT AS week, (publishedAt AT TIME ZONE 'UTC')::DATE AS day FROM media_daily",
     "crawl_dates": f"SELECT publishedAt, strftime(coalesce(try_strptime({_BARE}, '%d %b %Y %H:%M:%S'), try_strptime({_BARE}, '%Y-%m-%d %H:%M:%S')), '%Y-%m-%d %H:%M:%S') AS read FROM (SELECT DISTINCT publishedAt FROM articles) WHERE coalesce(try_strptime({_BARE}, '%d %b %Y %H:%M:%S'), try_strptime({_BARE}, '%Y-%m-%d %H:%M:%S')) IS NOT NULL",
     "db_stats": f"{BASE} SELECT * FROM (SELECT count(*) AS totalArticles, coalesce(sum(quoteCount),0)::BIGINT AS totalQuotes, {_sum_sql(('people', 'sources'))} FROM ok) WHERE totalArticles > 0",
     "outlet_stats": f"{BASE} SELECT outlet, count(*) AS totalArticles, coalesce(sum(quoteCount),0)::BIGINT AS totalQuotes, {_sum_sql(('people', 'sources'))} FROM ok GROUP BY 1",
@@ -461,8 +461,8 @@ SQL = {
     "clean_name": f"WITH {LATEST}, n AS (SELECT DISTINCT unnest(people) AS name FROM art) SELECT name, {_CN.format(x='name')} AS clean, len({_TOK.format(x='name')}) <= 1 OR len({_TOK.format(x='name')}) > 6 AS invalid, CASE WHEN contains(trim(name), ' ') THEN {_TOK.format(x='name')}[1] END AS first, regexp_matches(name, '[0-9]') AS digit FROM n",
     "info_by_date_outlet": f"WITH s AS (SELECT outlet, {_SUMS} FROM media_daily GROUP BY 1) SELECT outlet, {_SHARES}, round(totalArticles::DOUBLE / sum(totalArticles) OVER (), 6) AS perArticles FROM s",
     "info_by_date_total": f"WITH s AS (SELECT 'all' AS outlet, {_SUMS} FROM media_daily) SELECT outlet, {_SHARES} FROM s",
-    "weekly_info": f"WITH s AS (SELECT outlet, (publishedAt::DATE - dayofweek(publishedAt::DATE)::INT)::DATE AS weekBegin, {_SUMS} FROM media_daily GROUP BY 1, 2) SELECT outlet, weekBegin, {_SHARES}, (weekBegin + 6)::DATE AS weekEnd FROM s",
-    "weekly_article_counts_filled": "WITH s AS (SELECT outlet, (publishedAt::DATE + ((7 - dayofweek(publishedAt::DATE)) % 7)::INT)::DATE AS week, coalesce(sum(totalArticles),0)::BIGINT AS n FROM media_daily WHERE outlet IS NOT NULL GROUP BY 1, 2), g AS (SELECT o.outlet, w.week FROM (SELECT DISTINCT outlet FROM s) o, (SELECT unnest(generate_series(min(week), max(week), INTERVAL 7 DAY))::DATE AS week FROM s) w) SELECT g.outlet, g.week, coalesce(n, 0)::BIGINT AS totalArticles FROM g LEFT JOIN s USING (outlet, week)",
+    "weekly_info": f"WITH s AS (SELECT outlet, ((publishedAt AT TIME ZONE 'UTC')::DATE - dayofweek((publishedAt AT TIME ZONE 'UTC')::DATE)::INT)::DATE AS weekBegin, {_SUMS} FROM media_daily GROUP BY 1, 2) SELECT outlet, weekBegin, {_SHARES}, (weekBegin + 6)::DATE AS weekEnd FROM s",
+    "weekly_article_counts_filled": "WITH s AS (SELECT outlet, ((publishedAt AT TIME ZONE 'UTC')::DATE + ((7 - dayofweek((publishedAt AT TIME ZONE 'UTC')::DATE)) % 7)::INT)::DATE AS week, coalesce(sum(totalArticles),0)::BIGINT AS n FROM media_daily WHERE outlet IS NOT NULL GROUP BY 1, 2), g AS (SELECT o.outlet, w.week FROM (SELECT DISTINCT outlet FROM s) o, (SELECT unnest(generate_series(min(week), max(week), INTERVAL 7 DAY))::DATE AS week FROM s) w) SELECT g.outlet, g.week, coalesce(n, 0)::BIGINT AS totalArticles FROM g LEFT JOIN s USING (outlet, week)",
     "daily_female_share": f"WITH {_SHARE.format(w='true')} SELECT outlet, day, round(share, 6) AS share FROM sh",
     "daily_female_share_filled": f"WITH {_SHARE.format(w='outlet IS NOT NULL')}, {_FILLED} SELECT outlet, day, round(share, 6) AS share FROM fil",
     "daily_female_share_rolling7": f"WITH {_SHARE.format(w='outlet IS NOT NULL')}, {_FILLED} SELECT outlet, day, round(share, 6) AS share, round(avg(share) OVER (PARTITION BY outlet ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS rolling FROM fil",
@@ -481,7 +481,7 @@ SQL = {
     "collocates_mi": f"WITH {_WORDS}, n AS (SELECT word AS a, lead(word) OVER (PARTITION BY doc_id ORDER BY pos) AS b FROM w), p AS (SELECT a, b, count(*) AS n FROM n WHERE b IS NOT NULL GROUP BY 1, 2), f AS (SELECT word, count(*) AS n FROM w GROUP BY 1) SELECT p.a, p.b, p.n, round(log2((p.n::DOUBLE/(SELECT sum(n) FROM p)) / ((x.n::DOUBLE/(SELECT sum(n) FROM f)) * (y.n::DOUBLE/(SELECT sum(n) FROM f)))), 6) AS mi FROM p JOIN f x ON x.word = p.a JOIN f y ON y.word = p.b WHERE p.n >= 5",
     "lifecycle_tally": f"WITH {LATEST} SELECT lastModifier, count(*) AS articles, sum((quotes IS NULL)::INT)::BIGINT AS without_quotes, sum((quotesUpdated IS NULL)::INT)::BIGINT AS without_annotation FROM art GROUP BY 1",
     "long_bodies": f"WITH {LATEST} SELECT length(body) > 20000 AS too_long, count(*) AS articles, max(length(body))::BIGINT AS longest FROM art WHERE body IS NOT NULL GROUP BY 1",
-    "upsert_media_daily": "SELECT outlet, day, CASE WHEN dayofmonth(day) <= 3 THEN coalesce(n, 0) + 1 ELSE n END AS totalArticles FROM (SELECT outlet, publishedAt::DATE AS day, any_value(totalArticles) AS n FROM media_daily WHERE outlet IS NOT NULL GROUP BY 1, 2)",
+    "upsert_media_daily": "SELECT outlet, day, CASE WHEN dayofmonth(day) <= 3 THEN coalesce(n, 0) + 1 ELSE n END AS totalArticles FROM (SELECT outlet, (publishedAt AT TIME ZONE 'UTC')::DATE AS day, any_value(totalArticles) AS n FROM media_daily WHERE outlet IS NOT NULL GROUP BY 1, 2)",
     "insert_if_absent": "SELECT outlet, domain FROM outlets",
     "merge_side_collection": "SELECT outlet, CASE WHEN lang = 'fr' THEN 'fr-CA' ELSE lang END AS lang, tz FROM outlets",
     "cache_write_back": f"SELECT DISTINCT unnest([lower(name), lower(translate(name, '{ACC}', '{PLAIN}'))]) AS name, gender FROM gender_cache WHERE name IS NOT NULL AND gender IS NOT NULL",
