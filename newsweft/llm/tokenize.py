@@ -26,6 +26,9 @@ from newsweft.session import cut_lineage
 #: Share of all pre-token rows from which one pre-token counts as hot.
 HOT_SHARE = 1 / 2000
 
+#: Bits of an id (vocabularies of up to 131,072) and of its place in its pre-token; 26 bits are left for the pre-token.
+ID_BITS, PLACE_BITS = 17, 20
+
 #: The pre-token pattern of the byte-level vocabulary, with Unicode white space written out for Java.
 _SPACE = "\\t-\\r \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
 PRETOKEN = (
@@ -70,6 +73,8 @@ def pretokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """(``id_col``, ids array<int>): the ids of every text, without special tokens."""
     path = path or tokenizer_path()
+    if max(read_ranks(path).values()) >> ID_BITS:
+        raise ValueError("the vocabulary needs more than ID_BITS bits")
     docs = docs.select(id_col, text_col).dropDuplicates([id_col])
     rows = pretokens(docs, id_col, text_col)
     counted = rows.groupBy("word").agg(F.count("*").alias("n"))
@@ -80,8 +85,11 @@ def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tagged = rows.join(F.broadcast(hot), "word", "left")
     known = tagged.where("hot_ids is not null").select("doc", "pos", F.col("hot_ids").alias("ids"))
     looked_up = tagged.where("hot_ids is null").select("doc", "pos", "word").join(rest, "word").select("doc", "pos", "ids")
-    pieces = known.unionByName(looked_up).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("p"))
-    ids = pieces.select(F.col("doc").alias(id_col), F.flatten(F.transform("p", lambda x: x["ids"])).alias("ids"))
+    # one long for each id, in the order of the text: position of the pre-token, place in it, id
+    one = known.unionByName(looked_up).select("doc", "pos", F.posexplode("ids").alias("k", "id"))
+    packed = one.select("doc", (F.shiftleft(F.col("pos").cast("long"), PLACE_BITS + ID_BITS) + F.shiftleft(F.col("k").cast("long"), ID_BITS) + F.col("id")).alias("x"))
+    pieces = packed.groupBy("doc").agg(F.sort_array(F.collect_list("x")).alias("p"))
+    ids = pieces.select(F.col("doc").alias(id_col), F.transform("p", lambda x: x.bitwiseAND(F.lit((1 << ID_BITS) - 1)).cast("int")).alias("ids"))
     none = F.array().cast(T.ArrayType(T.IntegerType()))
     return docs.select(id_col).join(ids, id_col, "left").select(id_col, F.coalesce("ids", none).alias("ids"))
 
