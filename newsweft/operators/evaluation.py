@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsweft.functions.text import clean_name
@@ -19,32 +21,47 @@ def _share(a: tuple[int, int], b: tuple[int, int]) -> float:
     return max(0, min(a[1], b[1]) - max(a[0], b[0])) / size if size > 0 else 0.0
 
 
+_FIELDS = ("q_start", "q_end", "s_start", "s_end", "v_start", "v_end", "floating")
+
+
+def _greedy(gold: list[dict], predicted: list[dict], threshold: float) -> tuple[int, int, int]:
+    """(matched, speakers, verbs): each gold quote in order takes the free prediction of the largest overlap share."""
+    free = sorted(predicted, key=lambda p: p["q_start"])
+    matched = speakers = verbs = 0
+    for q in sorted(gold, key=lambda q: q["q_start"]):
+        best = max(((_share((q["q_start"], q["q_end"]), (p["q_start"], p["q_end"])), -k) for k, p in enumerate(free)), default=(0.0, 0))
+        if best[0] <= threshold:
+            continue
+        p = free.pop(-best[1])
+        matched += 1
+        silent = q["s_start"] is None
+        if silent:
+            speakers += bool(p["floating"])
+        elif p["s_start"] is not None:
+            speakers += _share((q["s_start"], q["s_end"]), (p["s_start"], p["s_end"])) > 0
+        verbs += (q["v_start"], q["v_end"]) == (p["v_start"], p["v_end"])
+    return matched, speakers, verbs
+
+
 def match_quotes(gold: DataFrame, predicted: DataFrame, threshold: float) -> DataFrame:
     """(doc, targets, predictions, matched, speakers, verbs): greedy one-to-one matches by best overlap share.
 
-    Both inputs: doc, q_start, q_end, s_start, s_end, v_start, v_end, floating. The choice depends
-    on earlier ones, so each document is one group in Python.
+    Both inputs: doc, q_start, q_end, s_start, s_end, v_start, v_end, floating; quotes without a
+    span are left out. The choice depends on earlier ones, so it is made per document, over the
+    two arrays of its quotes, in Arrow batches.
     """
 
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        doc = (left if len(left) else right)["doc"].iloc[0]
-        free = right.sort_values("q_start").to_dict("records")
-        matched = speakers = verbs = 0
-        for q in left.sort_values("q_start").to_dict("records"):
-            scored = [(_share((q["q_start"], q["q_end"]), (p["q_start"], p["q_end"])), -k) for k, p in enumerate(free)]
-            best = max(scored, default=(0.0, 0))
-            if best[0] <= threshold:
-                continue
-            p = free.pop(-best[1])
-            matched += 1
-            empty = pd.isna(q["s_start"])
-            both = not empty and not pd.isna(p["s_start"])
-            speakers += bool(both and _share((q["s_start"], q["s_end"]), (p["s_start"], p["s_end"])) > 0) or bool(empty and p["floating"])
-            verbs += (q["v_start"], q["v_end"]) == (p["v_start"], p["v_end"]) or bool(pd.isna(q["v_start"]) and pd.isna(p["v_start"]))
-        return pd.DataFrame([(doc, len(left), len(right), matched, speakers, verbs)], columns=["doc", "targets", "predictions", "matched", "speakers", "verbs"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [(g or [], p or []) for g, p in zip(batch.column("g").to_pylist(), batch.column("p").to_pylist())]
+            got = [(len(g), len(p), *_greedy(g, p, threshold)) for g, p in pairs]
+            columns = [pa.array([r[k] for r in got], pa.int64()) for k in range(5)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), *columns], ["doc", "targets", "predictions", "matched", "speakers", "verbs"])
 
+    grouped = lambda df, name: df.where("q_start is not null and q_end is not null").groupBy("doc").agg(F.collect_list(F.struct(*_FIELDS)).alias(name))
+    both = grouped(gold, "g").join(grouped(predicted, "p"), "doc", "full")
     kind = gold.schema["doc"].dataType.simpleString()
-    return gold.groupBy("doc").cogroup(predicted.groupBy("doc")).applyInPandas(run, f"doc {kind}, targets long, predictions long, matched long, speakers long, verbs long")
+    return both.mapInArrow(run, f"doc {kind}, targets long, predictions long, matched long, speakers long, verbs long")
 
 
 def ratio(a: Column, b: Column) -> Column:
