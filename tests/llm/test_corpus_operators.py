@@ -44,6 +44,22 @@ def test_near_duplicates_against_brute_force(spark):
     assert near_duplicates.near_duplicate_classes(a.where("false")).count() == 0
 
 
+def test_near_duplicates_without_common_runs(spark):
+    """Every fifth word replaced, or the order lost: no five words in a row survive, four fifths of the words do."""
+    rng = random.Random(31)
+    texts, want = {}, set()
+    for k in range(30):
+        base = [f"{w}{rng.choice(WORDS)}" for w in story(rng, rng.choice([5, 20, 100, 180]))]
+        edited = [f"new{rng.choice(WORDS)}{k}" if i % 5 == 4 else w for i, w in enumerate(base)]
+        texts |= {f"s{k:02d}": base, f"t{k:02d}": edited if k % 2 else rng.sample(edited, len(edited))}
+        texts[f"u{k:02d}"] = [f"other{rng.choice(WORDS)}{k}" if i % 5 == 4 or i == 0 else w for i, w in enumerate(base)]
+    for x, y in itertools.combinations(sorted(texts), 2):
+        if sum((Counter(texts[x]) & Counter(texts[y])).values()) >= 0.8 * max(len(texts[x]), len(texts[y])) - 1e-9:
+            want.add((x, y))
+    a = spark.createDataFrame([(i, " ".join(w) + ".") for i, w in texts.items()], "_id string, body string")
+    assert {tuple(r) for r in near_duplicates.found(a).collect()} == want and len(want) >= 30
+
+
 def test_trie_equals_pairwise():
     rng = random.Random(2)
     sets = [sorted(rng.sample(range(60), rng.randint(10, 40))) for _ in range(60)]
