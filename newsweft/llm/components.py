@@ -7,22 +7,24 @@ from pyspark.sql import DataFrame, functions as F
 from newsweft.session import cut_lineage
 
 
-def connected_components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of the edges (a, b); comp is the least node reached.
 
-    Every round takes the least label among neighbours and then the label of that label, so
-    the number of rounds grows with the logarithm of the longest path. Labels are cut to the
-    shared checkpoint folder each round.
+    Large-star and small-star rounds, until an edge list repeats: every node's larger
+    neighbours are tied to its least neighbour, then the node and its smaller ones. Basins
+    are thus joined at their roots, so a long path takes a logarithmic number of rounds, and there
+    is no bound on them. Edges are cut to the shared checkpoint folder each round.
     """
-    both = edges.select("a", "b").where("a <> b").distinct()
-    links = cut_lineage(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut_lineage(links.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")))
-    for _ in range(rounds):
-        near = links.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
-        step = labels.join(near, "node").select("node", "comp", F.least("comp", "near").alias("new"))
-        jump = labels.select(F.col("node").alias("new"), F.col("comp").alias("next"))
-        step = cut_lineage(step.join(jump, "new", "left").select("node", "comp", F.least("new", F.coalesce("next", "new")).alias("new")))
-        labels = step.select("node", F.col("new").alias("comp"))
-        if not step.where("new <> comp").take(1):
+    links = cut_lineage(edges.select("a", "b").where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    while True:
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = cut_lineage(large)
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a")
+        new = cut_lineage(small.select("a", F.col("m").alias("b")).unionByName(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct())
+        if not new.exceptAll(links).take(1) and not links.exceptAll(new).take(1):
             break
-    return labels
+        links = new
+    return links.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())

@@ -128,6 +128,17 @@ def test_components(spark):
     assert {got[f"n{k:03d}"] for k in range(61)} == {"n000"} and got["x"] == got["y"] == "x"
 
 
+def test_components_of_long_paths(spark):
+    """Paths that are walked in any order, and one whose two least nodes are its ends."""
+    rng = random.Random(6)
+    nodes = list(range(200))
+    rng.shuffle(nodes)
+    far = [0, *range(2, 300), 1]
+    edges = list(zip(nodes, nodes[1:])) + [(1000 + x, 1000 + y) for x, y in zip(far, far[1:])]
+    got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {k: 0 for k in nodes} | {1000 + k: 1000 for k in far}
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(4)
     nice = lambda: f"The {rng.choice(WORDS)} in {rng.choice(WORDS)} was {rng.choice(['sold', 'closed', 'painted'])} on {rng.choice(['Monday', 'Friday'])}."
