@@ -98,7 +98,7 @@ def date_range(spark, d):
 
 def _lda(spark, d):
     docs = table(spark, d, "documents").where("text is not null and lang = 'en'").select(F.col("doc_id").alias("_id"), F.col("source").alias("outlet"), F.col("text").alias("body"), (F.col("doc_id") % 4).cast("int").alias("sourcesFemaleCount"), (F.col("doc_id") % 3).cast("int").alias("sourcesMaleCount"))
-    model = topics.pipeline(topics=5, iterations=5).fit(docs)
+    model = topics.pipeline().fit(docs)
     return model, topics.distributions(model, docs, ["_id", "outlet", "sourcesFemaleCount", "sourcesMaleCount"])
 
 

@@ -178,3 +178,10 @@ def test_files(spark, tmp_path):
     assert files.folder_texts(spark, str(tmp_path / "texts")).first() == ("12", "body\nmore")
     pages = spark.createDataFrame([(1, '<a href="/x">x</a><script type="application/ld+json">{"a":1}</script>')], "page_id int, html string")
     assert files.ld_json(pages).first().json == '{"a":1}' and files.links(pages).first().url == "/x"
+
+
+def test_topic_queries_fit_the_production_model(spark):
+    from newsweft.plans import order_queries
+
+    model = order_queries._lda(spark, "/root/testdata/sf0.001")[0].stages[-1]
+    assert (model.getK(), model.getMaxIter()) == (15, 150)
