@@ -3,8 +3,11 @@
 Every text is matched against the formats below; each match that names a possible date is a
 *candidate* (some texts, such as 03/04/2021, have two). An expectation-maximisation over the
 mixture of formats of each source turns candidates into posteriors: a text adds to the
-weights of its source's formats in proportion to its likelihood under each valid reading.
-A reading is taken if its posterior reaches ``SURE``; otherwise the text stays marked
+weights of its source's formats in proportion to its likelihood under each valid reading, so
+the source's own texts with one reading only (25/04/2021) decide how its others are read. The
+day order that a source states is a prior of ``STRENGTH`` texts, split by how often such
+statements hold (``TRUST``, and the sources whose texts show their order): it decides where a source shows nothing, and
+gives way to five texts that contradict it. A reading is taken if its posterior reaches ``SURE``; otherwise the text stays marked
 ambiguous. Texts without zone are read in the source's home zone; a clock reading which that
 zone shows twice or never is marked and has no instant.
 
@@ -26,8 +29,8 @@ from newsweft.session import cut_lineage
 
 #: Posterior from which a reading is taken.
 SURE = 0.99
-#: Pseudo-counts with which a source's stated day order enters the EM.
-PRIOR = 400.0
+#: Texts (a fraction of one) that a source's stated day order counts as, and as how many right and wrong statements trust in them begins.
+STRENGTH, TRUST = 0.05, (199.0, 1.0)
 #: Years in which a publication time is plausible; others have the likelihood ``FAR_LIKELIHOOD``.
 YEARS = (1990, 2100)
 FAR_LIKELIHOOD = 1e-6
@@ -111,18 +114,26 @@ def _epoch(text: Column, name: str) -> Column:
     return F.when(text.rlike(pattern), F.struct(F.lit(name).alias("fmt"), (text.try_cast("long") * scale).alias("us"), F.lit(True).alias("zoned"), F.lit(True).alias("zone_ok")))
 
 
-def _mixture(rows: pd.DataFrame) -> pd.DataFrame:
+def statement_trust(counts: DataFrame) -> float:
+    """The share of stated day orders that hold, by the sources whose texts with one reading show their order; one row comes to the driver."""
+    shows = lambda one, other: F.sum(F.when(F.array_contains("fmts", one) & ~F.array_contains("fmts", other), F.col("n")).otherwise(0))
+    each = counts.where("day_first is not null").groupBy("source_key").agg(F.min("day_first").alias("stated"), shows("slash_dmy", "slash_mdy").alias("dmy"), shows("slash_mdy", "slash_dmy").alias("mdy"))
+    right, shown = each.where("dmy <> mdy").agg(F.sum(((F.col("dmy") > F.col("mdy")) == F.col("stated")).cast("long")), F.count("*")).first()
+    return ((right or 0) + TRUST[0]) / (shown + sum(TRUST))
+
+
+def _mixture(rows: pd.DataFrame, rounds: int) -> pd.DataFrame:
     """EM for one source: the weights of its formats, from the counts of its sets of candidates."""
     names = sorted({f for fs in rows["fmts"] for f in fs})
     prior = dict.fromkeys(names, 0.5)
-    first = rows["day_first"].iloc[0]
+    first, trust = rows["day_first"].iloc[0], float(rows["trust"].iloc[0])
     if first is not None and not pd.isna(first):
         for name, yes in (("slash_dmy", bool(first)), ("slash_mdy", not first)):
             if name in prior:
-                prior[name] = PRIOR if yes else 0.5
+                prior[name] = STRENGTH * (trust if yes else 1 - trust)
     weight = {n: prior[n] / sum(prior.values()) for n in names}
     data = [(list(fs), list(ls), n) for fs, ls, n in zip(rows["fmts"], rows["likes"], rows["n"])]
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         seen = dict(prior)
         for fs, ls, n in data:
             share = [weight[f] * x for f, x in zip(fs, ls)]
@@ -138,7 +149,7 @@ def _mixture(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"source_key": rows["source_key"].iloc[0], "weights": [list(weight.items())]})
 
 
-def normalise_timestamps(rows: DataFrame, sources: DataFrame, key: str = "_id", text: str = "publishedAt", source: str = "outlet") -> DataFrame:
+def normalise_timestamps(rows: DataFrame, sources: DataFrame, key: str = "_id", text: str = "publishedAt", source: str = "outlet", rounds: int = ROUNDS) -> DataFrame:
     """(key, published_us bigint, fmt, posterior, status) for every key.
 
     ``sources``: one row per source with ``tz`` and ``day_first``; a source named twice counts once.
@@ -160,7 +171,9 @@ def normalise_timestamps(rows: DataFrame, sources: DataFrame, key: str = "_id",
     low, high = (int(pd.Timestamp(f"{y}-01-01").value // 1000) for y in YEARS)
     read = base.withColumn("fmts", F.transform("c", lambda c: c["fmt"])).withColumn("likes", F.transform("c", lambda c: F.when(c["us"].between(low, high), 1.0).otherwise(FAR_LIKELIHOOD)))
     counts = read.where(F.size("c") > 0).groupBy("source_key", "day_first", "fmts", "likes").agg(F.count("*").alias("n"))
-    weights = counts.groupBy("source_key").applyInPandas(_mixture, "source_key string, weights array<struct<name string, weight double>>")
+    counts = cut_lineage(counts)
+    counts = counts.withColumn("trust", F.lit(statement_trust(counts)))
+    weights = counts.groupBy("source_key").applyInPandas(lambda part: _mixture(part, rounds), "source_key string, weights array<struct<name string, weight double>>")
     scored = read.join(weights, "source_key", "left").withColumn("w", F.map_from_entries(F.coalesce("weights", F.expr("cast(array() as array<struct<name string, weight double>>)"))))
     joint = F.zip_with("c", "likes", lambda c, x: F.struct((F.coalesce(F.try_element_at(F.col("w"), c["fmt"]), F.lit(0.0)) * x).alias("p"), c.alias("c")))
     scored = scored.withColumn("j", joint).withColumn("total", F.aggregate("j", F.lit(0.0), lambda a, x: a + x["p"])).withColumn("best", F.array_max("j"))

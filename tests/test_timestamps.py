@@ -11,10 +11,10 @@ DATA = "/root/testdata/sf0.001"
 OUTLETS = [("A", "America/Toronto", False), ("B", "America/St_Johns", True), ("A", "America/Toronto", False)]
 
 
-def run(spark, rows):
+def run(spark, rows, **options):
     a = spark.createDataFrame(rows, "_id string, outlet string, publishedAt string, status string")
     o = spark.createDataFrame(OUTLETS, "outlet string, tz string, day_first boolean")
-    return {r["_id"]: (r["published_us"], r["status"]) for r in normalise_timestamps(a, o).collect()}
+    return {r["_id"]: (r["published_us"], r["status"]) for r in normalise_timestamps(a, o, **options).collect()}
 
 
 def us(*args, zone="UTC", micro=0):
@@ -57,6 +57,16 @@ def test_statuses(spark):
     assert [(STATUS[k][1], got[str(k)]) for k in range(len(STATUS))] == [(t, (None, s)) for _, t, s in STATUS]
 
 
+def test_mixture_decides(spark):
+    """A source whose texts contradict its stated day order is read as its texts show; the prior alone reads it wrongly."""
+    rows = [(f"u{d}", "A", f"{d}/04/2021 10:00", "x") for d in range(13, 29)] + [("amb", "A", "03/04/2021 10:00", "x"), ("few", "B", "03/25/2021 10:00", "x"), ("amb2", "B", "03/04/2021 10:00", "x")]
+    want = us(2021, 4, 3, 10, zone="America/Toronto")
+    got = run(spark, rows)
+    assert got["amb"] == (want, "exact") and got["amb2"] == (None, "ambiguous")
+    alone = run(spark, rows, rounds=0)
+    assert alone["amb"][0] != want
+
+
 def test_repeated_and_empty(spark):
     row = ("1", "A", "2021-03-04T05:06:07Z", "x")
     assert len(run(spark, [row, row])) == 1
