@@ -26,11 +26,13 @@ def local_session(cores: int = 8, memory: str = "8g", partitions: int = 8) -> Sp
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared folder; only where none is named (tests) make an own one."""
+    """Use the cluster's shared folder; only a local session without one (tests) gets an own one."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="newsweft-checkpoint-"))
 
 
