@@ -76,33 +76,54 @@ def sources(people: Column, references: Column) -> Column:
 
 
 def mergeable(a: str, b: str) -> bool:
-    """Whether two English names mean one person: equal; two parts and their first name or last name; three parts and their last two or last part."""
-    x, y = sorted((a.lower().split(), b.lower().split()), key=len, reverse=True)
-    if x == y:
-        return True
-    if len(x) == 2:
-        return len(y) == 1 and y[0] in x
-    if len(x) == 3:
-        return y == x[1:] or y == x[2:]
+    """Whether two English names mean one person; case matters and parts begin with capitals.
+
+    Two parts and their first name alone; three parts and the last two, or the last alone. The longer string is the full name.
+    """
+    y, x = (s.split(" ") for s in sorted((a.strip(), b.strip()), key=len))
+    capitals = lambda *parts: all(p[:1].isupper() for p in parts)
+    match len(x), len(y):
+        case 2, 1:
+            return x[0] == y[0] and capitals(*x)
+        case 3, 2:
+            return x[1:] == y and capitals(*x)
+        case 3, 1:
+            return x[2] == y[0] and capitals(x[0], x[2])
     return False
 
 
+def merged_names(names: list[str]) -> list[tuple[str, list[str]]]:
+    """(entity, its names) of one document: each name in turn joins the first entity whose fullest name it can mean.
+
+    A fuller name takes the entity over and moves it behind the others. Entities of one token go.
+    """
+    groups: list[tuple[str, list[str]]] = []
+    for name in dict.fromkeys(names):
+        home = next((g for g in groups if mergeable(name, g[0])), None)
+        if home is None:
+            groups.append((name, [name]))
+        elif len(name) > len(home[0]):
+            groups.remove(home)
+            groups.append((name, [*home[1], name]))
+        else:
+            home[1].append(name)
+    return [g for g in groups if " " in g[0]]
+
+
 def merge_names(mentions: DataFrame) -> DataFrame:
     """(doc, name, entity): in the order of ``seq`` each name joins the first earlier entity it can mean; entities of one token go.
 
-    The merge depends on order, so each document is handled as one group in Python.
+    The merge depends on order within a document, so one row holds a document's names and batches of rows go to Python.
     """
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        groups: list[list[str]] = []
-        for name in dict.fromkeys(rows.sort_values("seq")["name"]):
-            home = next((g for g in groups if any(mergeable(name, other) for other in g)), None)
-            home.append(name) if home else groups.append([name])
-        out = [(rows["doc"].iloc[0], n, max(g, key=lambda s: (len(s.split()), len(s)))) for g in groups for n in g]
-        return pd.DataFrame([r for r in out if len(r[2].split()) > 1], columns=["doc", "name", "entity"])
+    @F.pandas_udf("array<struct<entity string, names array<string>>>")
+    def merged(names: pd.Series) -> pd.Series:
+        return names.map(lambda ns: [{"entity": e, "names": g} for e, g in merged_names(list(ns))])
 
-    kind = mentions.schema["doc"].dataType.simpleString()
-    return mentions.groupBy("doc").applyInPandas(run, f"doc {kind}, name string, entity string")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("seq", "name"))), lambda x: x["name"])
+    lists = mentions.where("name is not null and name <> ''").groupBy("doc").agg(ordered.alias("names"))
+    groups = lists.select("doc", F.explode(merged("names")).alias("g"))
+    return groups.select("doc", F.explode("g.names").alias("name"), F.col("g.entity").alias("entity"))
 
 
 def mergeable_fr(a: str, b: str, gender_a: str | None = None, gender_b: str | None = None) -> bool:

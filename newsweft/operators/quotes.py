@@ -163,8 +163,12 @@ def floating_quotes(text: str, tokens: list[dict], known: list[dict], most: int
 
 
 def heuristic_quotes(text: str, tokens: list[dict], opening: str = '"', closing: str = '"') -> list[dict]:
-    """Text between quotation marks with the nearest verb (up to 4 tokens before, then 5 after) and its subject."""
+    """Text between quotation marks with the nearest verb (up to 4 tokens before, then 5 after) and its subject.
+
+    On either side the search ends at a full stop or a straight quotation mark.
+    """
     out, at = [], None
+    nearby = lambda run: next((run[:k] for k, x in enumerate(run) if x["text"] in (".", '"')), run)
     for t in tokens:
         if at is None:
             if t["text"] == opening:
@@ -172,7 +176,7 @@ def heuristic_quotes(text: str, tokens: list[dict], opening: str = '"', closing:
         elif t["text"] == closing:
             inner = tokens[at + 1 : t["i"]]
             if MIN_TOKENS < len(inner) < MAX_TOKENS:
-                near = [*reversed(tokens[max(0, at - 4) : at]), *tokens[t["i"] + 1 : t["i"] + 6]]
+                near = nearby(tokens[max(0, at - 4) : at][::-1]) + nearby(tokens[t["i"] + 1 : t["i"] + 6])
                 verb = next((v for v in near if v["pos"] == "VERB" and v["text"].lower() not in NOT_QUOTE_VERBS), None)
                 subject = next((s for s in tokens if verb and s["head"] == verb["i"] and s["dep"] == "nsubj"), None)
                 speaker = _span(subtree(tokens, subject["i"])) if subject else None

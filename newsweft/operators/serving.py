@@ -60,6 +60,16 @@ def complete_grid(rows: DataFrame, key: str, date: str, step: str, values: dict[
     return grid.join(rows, [key, date], "left").fillna(values)
 
 
+def hide_future(weeks: DataFrame, today: Column | None = None, week: str = "week") -> DataFrame:
+    """Only weeks that have ended by ``today`` (the current day); a week is named by the Sunday it ends on."""
+    return weeks.where(F.col(week) <= (F.current_date() if today is None else today))
+
+
+def display_names(rows: DataFrame, names: dict[str, str], column: str = "outlet") -> DataFrame:
+    """Outlets under the names they are shown by; others keep theirs."""
+    return rows.replace(names, subset=[column]) if names else rows
+
+
 def weekly_counts(daily: DataFrame) -> DataFrame:
     """(outlet, week, totalArticles): weeks that end on Sunday, empty weeks with 0."""
     weeks = daily.groupBy("outlet", week_end(F.to_date("publishedAt")).alias("week")).agg(F.coalesce(F.sum("totalArticles"), F.lit(0)).cast("long").alias("totalArticles"))
@@ -67,11 +77,16 @@ def weekly_counts(daily: DataFrame) -> DataFrame:
 
 
 def female_share(daily: DataFrame, fill: bool = False) -> DataFrame:
-    """(outlet, day, share in per cent); days without any source have none. ``fill`` adds absent days as 0."""
+    """(outlet, day, share in per cent); days without any source have none. ``fill`` adds absent days as 0.
+
+    A day that is there but has no source is undefined, not 0: it counts in the span of days and is left out.
+    """
     day = daily.groupBy("outlet", F.to_date("publishedAt").alias("day")).agg(*[F.sum(c).alias(c) for c in ("totalFemales", "totalMales", "totalUnknowns")])
     share = F.try_divide(100.0 * F.col("totalFemales"), F.col("totalFemales") + F.col("totalMales") + F.col("totalUnknowns"))
-    out = day.select("outlet", "day", share.alias("share")).where("share is not null")
-    return complete_grid(out, "outlet", "day", "interval 1 day", {"share": 0.0}) if fill else out
+    out = day.select("outlet", "day", share.alias("share"), F.lit(True).alias("present"))
+    if fill:
+        out = complete_grid(out, "outlet", "day", "interval 1 day", {"present": False}).withColumn("share", F.when(F.col("present"), F.col("share")).otherwise(0.0))
+    return out.where("share is not null").drop("present")
 
 
 def rolling_share(shares: DataFrame, rows: int = 7, legacy_unpartitioned: bool = False) -> DataFrame:

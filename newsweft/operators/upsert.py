@@ -1,4 +1,4 @@
-"""Keyed writes over Parquet tables: the final state as a DataFrame, and an atomic swap."""
+"""Keyed writes over Parquet tables: the final state as a DataFrame, and ways to put it in place."""
 
 from __future__ import annotations
 
@@ -36,7 +36,10 @@ def keep_comment(existing: DataFrame, new: DataFrame, key: str = "_id") -> DataF
 
 
 def swap(df: DataFrame, path: str) -> None:
-    """Write beside the table and rename, so that a table may be rewritten from itself."""
+    """Write beside the table and rename, so that a table may be rewritten from itself.
+
+    Two renames: for an instant between them a reader finds no table. If the second fails, the old table comes back.
+    """
     spark: SparkSession = df.sparkSession
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:8]}"
     df.write.mode("overwrite").parquet(staging)
@@ -44,8 +47,25 @@ def swap(df: DataFrame, path: str) -> None:
     fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex[:8]}")
     target, made = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staging)
-    if fs.exists(target):
-        fs.rename(target, old)
-    fs.rename(made, target)
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"{path} could not be moved aside; the new table is in {staging}")
+    if not fs.rename(made, target):
+        if fs.exists(old):
+            fs.rename(old, target)
+        raise OSError(f"{staging} could not be moved to {path}")
     if fs.exists(old):
         fs.delete(old, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def upsert_partitions(new: DataFrame, path: str, keys: list[str], part: str) -> None:
+    """Upsert into a Parquet table partitioned by ``part``: only the partitions that ``new`` touches are read and replaced."""
+    spark: SparkSession = new.sparkSession
+    if exists(spark, path):
+        old = spark.read.schema(new.schema).parquet(path)
+        new = upsert(old.join(new.select(part).distinct(), part, "left_semi").select(*new.columns), new, keys)
+    new.write.partitionBy(part).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)

@@ -160,8 +160,11 @@ def clean_names(spark, d):
 
 def name_near_cache(spark, d):
     """Cache entries that are the same name but for one letter."""
-    n = table(spark, d, "gender_cache").where("name is not null").select(F.regexp_replace(F.lower(tx.accent_fold(F.col("name"))), "[^ -~]", "").alias("a")).distinct()
-    pairs = n.withColumn("k", F.substring("a", 1, 3)).join(n.select(F.col("a").alias("b"), F.substring("a", 1, 3).alias("k")), "k").where("a < b")
+    n = table(spark, d, "gender_cache").where("name is not null").select(F.regexp_replace(F.lower(tx.accent_fold(F.col("name"))), "[^ -~]", "").alias("a")).where("a <> ''").distinct()
+    # two names at one edit are equal after one letter, or none, is taken out of each
+    without = F.transform(F.sequence(F.lit(1), F.length("a")), lambda k: F.concat(F.substring(F.col("a"), F.lit(1), k - 1), F.substring(F.col("a"), k + 1, F.length("a"))))
+    keyed = n.select("a", F.explode(F.array_distinct(F.concat(F.array("a"), without))).alias("k"))
+    pairs = keyed.join(keyed.withColumnRenamed("a", "b"), "k").where("a < b").select("a", "b").distinct()
     return pairs.where(tx.almost_same(F.col("a"), F.col("b"), 1)).select("a", "b")
 
 
@@ -217,7 +220,9 @@ def daily_female_share_trend(spark, d):
 
 
 _SHARE = "sh AS (SELECT outlet, day, 100.0*f/(f+m+u) AS share FROM (SELECT outlet, (publishedAt AT TIME ZONE 'UTC')::DATE AS day, sum(totalFemales) f, sum(totalMales) m, sum(totalUnknowns) u FROM media_daily WHERE {w} GROUP BY 1,2) WHERE f+m+u > 0)"
-_FILLED = "grid AS (SELECT o.outlet, g.day FROM (SELECT DISTINCT outlet FROM sh) o, (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day FROM sh) g), fil AS (SELECT grid.outlet, grid.day, coalesce(share, 0.0) AS share FROM grid LEFT JOIN sh USING (outlet, day))"
+#: Days that are there without any source are undefined and dropped; days that are not there are 0.
+_DAYS = "dd AS (SELECT outlet, (publishedAt AT TIME ZONE 'UTC')::DATE AS day, sum(totalFemales) f, sum(totalMales) m, sum(totalUnknowns) u FROM media_daily WHERE outlet IS NOT NULL GROUP BY 1,2)"
+_FILLED = _DAYS + ", grid AS (SELECT o.outlet, g.day FROM (SELECT DISTINCT outlet FROM dd) o, (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day FROM dd) g), fil AS (SELECT g.outlet, g.day, CASE WHEN d.day IS NULL THEN 0.0 ELSE 100.0*f/(f+m+u) END AS share FROM grid g LEFT JOIN dd d ON g.outlet = d.outlet AND g.day = d.day WHERE d.day IS NULL OR f+m+u > 0)"
 
 
 def alias_merged_top_sources(spark, d):
@@ -464,8 +469,8 @@ SQL = {
     "weekly_info": f"WITH s AS (SELECT outlet, ((publishedAt AT TIME ZONE 'UTC')::DATE - dayofweek((publishedAt AT TIME ZONE 'UTC')::DATE)::INT)::DATE AS weekBegin, {_SUMS} FROM media_daily GROUP BY 1, 2) SELECT outlet, weekBegin, {_SHARES}, (weekBegin + 6)::DATE AS weekEnd FROM s",
     "weekly_article_counts_filled": "WITH s AS (SELECT outlet, ((publishedAt AT TIME ZONE 'UTC')::DATE + ((7 - dayofweek((publishedAt AT TIME ZONE 'UTC')::DATE)) % 7)::INT)::DATE AS week, coalesce(sum(totalArticles),0)::BIGINT AS n FROM media_daily WHERE outlet IS NOT NULL GROUP BY 1, 2), g AS (SELECT o.outlet, w.week FROM (SELECT DISTINCT outlet FROM s) o, (SELECT unnest(generate_series(min(week), max(week), INTERVAL 7 DAY))::DATE AS week FROM s) w) SELECT g.outlet, g.week, coalesce(n, 0)::BIGINT AS totalArticles FROM g LEFT JOIN s USING (outlet, week)",
     "daily_female_share": f"WITH {_SHARE.format(w='true')} SELECT outlet, day, round(share, 6) AS share FROM sh",
-    "daily_female_share_filled": f"WITH {_SHARE.format(w='outlet IS NOT NULL')}, {_FILLED} SELECT outlet, day, round(share, 6) AS share FROM fil",
-    "daily_female_share_rolling7": f"WITH {_SHARE.format(w='outlet IS NOT NULL')}, {_FILLED} SELECT outlet, day, round(share, 6) AS share, round(avg(share) OVER (PARTITION BY outlet ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS rolling FROM fil",
+    "daily_female_share_filled": f"WITH {_FILLED} SELECT outlet, day, round(share, 6) AS share FROM fil",
+    "daily_female_share_rolling7": f"WITH {_FILLED} SELECT outlet, day, round(share, 6) AS share, round(avg(share) OVER (PARTITION BY outlet ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS rolling FROM fil",
     "daily_female_share_trend": f"WITH {_SHARE.format(w='true')} SELECT outlet, round(regr_slope(share, x), 6) AS slope, round(regr_intercept(share, x), 3) AS intercept, count(*) AS days FROM (SELECT outlet, share, (day - DATE '1970-01-01')::DOUBLE AS x FROM sh) GROUP BY 1",
     "alias_merged_top_sources": BASE + ", c AS (SELECT 'female' AS gender, unnest(sourcesFemale) AS name FROM ok UNION ALL SELECT 'male', unnest(sourcesMale) FROM ok), al(primary_name, alias) AS (VALUES " + ", ".join(f"('{p}', '{a}')" for p, a in ALIASES) + "), m AS (SELECT gender, coalesce(primary_name, name) AS name, count(*)::BIGINT AS count FROM c LEFT JOIN al ON name = alias GROUP BY 1, 2) SELECT gender, name, count, rank FROM (SELECT *, row_number() OVER (PARTITION BY gender ORDER BY count DESC, name)::INT AS rank FROM m) WHERE rank <= 15",
     "quote_type_shares": _QROWS + " SELECT quote_type, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 3) AS percent FROM sp GROUP BY 1",
@@ -485,5 +490,5 @@ SQL = {
     "insert_if_absent": "SELECT outlet, domain FROM outlets",
     "merge_side_collection": "SELECT outlet, CASE WHEN lang = 'fr' THEN 'fr-CA' ELSE lang END AS lang, tz FROM outlets",
     "cache_write_back": f"SELECT DISTINCT unnest([lower(name), lower(translate(name, '{ACC}', '{PLAIN}'))]) AS name, gender FROM gender_cache WHERE name IS NOT NULL AND gender IS NOT NULL",
-    "name_near_cache": f"WITH n AS (SELECT DISTINCT regexp_replace(lower(translate(name, '{ACC}', '{PLAIN}')), '[^ -~]', '', 'g') AS a FROM gender_cache WHERE name IS NOT NULL) SELECT x.a, y.a AS b FROM n x JOIN n y ON x.a < y.a AND x.a[1:3] = y.a[1:3] WHERE levenshtein(x.a, y.a) <= 1 AND x.a <> '' AND y.a <> ''",
+    "name_near_cache": f"WITH n AS (SELECT DISTINCT regexp_replace(lower(translate(name, '{ACC}', '{PLAIN}')), '[^ -~]', '', 'g') AS a FROM gender_cache WHERE name IS NOT NULL) SELECT x.a, y.a AS b FROM n x JOIN n y ON x.a < y.a WHERE levenshtein(x.a, y.a) <= 1 AND x.a <> '' AND y.a <> ''",
 }

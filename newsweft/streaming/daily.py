@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from newsweft.operators.upsert import swap, upsert
+from newsweft.functions import url as ux
+from newsweft.operators.upsert import upsert_partitions
 
 
 def daily_stream(articles: DataFrame, lateness: str = "90 days") -> DataFrame:
@@ -17,19 +18,23 @@ def daily_stream(articles: DataFrame, lateness: str = "90 days") -> DataFrame:
 
 
 def first_seen(articles: DataFrame, lateness: str = "90 days") -> DataFrame:
-    """The first delivery of every address within the lateness."""
-    return articles.withWatermark("publishedAt", lateness).dropDuplicatesWithinWatermark(["url"])
+    """The first delivery of every address, whatever its scheme and spelling, within the lateness."""
+    rows = articles.withWatermark("publishedAt", lateness).withColumn("__identity", ux.identity(F.col("url")))
+    return rows.dropDuplicatesWithinWatermark(["__identity"]).drop("__identity")
+
+
+def stage_ready(articles: DataFrame, stage: Column) -> DataFrame:
+    """The rows of a stream of deliveries that a stage is due for; ``stage`` is one of the gates of ``predicates``."""
+    return articles.where(stage)
 
 
 def write_daily(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Upserts every micro-batch into a Parquet table; replaying a batch changes nothing."""
+    """Upserts every micro-batch into a Parquet table partitioned by day; replaying a batch changes nothing.
+
+    Only the days of the batch are read and replaced; an unreadable table is an error, never taken for none.
+    """
 
     def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        try:
-            old = spark.read.schema(batch.schema).parquet(path)
-        except Exception:  # no table yet
-            old = spark.createDataFrame([], batch.schema)
-        swap(upsert(old, batch, ["day", "outlet"]), path)
+        upsert_partitions(batch, path, ["day", "outlet"], "day")
 
     return stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write).trigger(availableNow=True).start()

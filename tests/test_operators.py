@@ -67,6 +67,32 @@ def test_weeks(spark):
     assert serving.rolling_share(share, legacy_unpartitioned=True).orderBy("outlet", "day").collect()[-1].rolling == 3.75
 
 
+def test_days_without_sources(spark):
+    """A day with articles but no source is undefined and left out; a day that is missing is 0."""
+    day = lambda o, d, f, m: (dt.datetime(2022, 1, d), o, 3, f, m, 0)
+    daily = spark.createDataFrame([day("a", 1, 1, 3), day("a", 2, 0, 0), day("a", 4, 2, 2), day("b", 5, 0, 0)], "publishedAt timestamp, outlet string, totalArticles long, totalFemales long, totalMales long, totalUnknowns long")
+    got = {(r.outlet, r.day.day): r.share for r in serving.female_share(daily, fill=True).collect()}
+    assert got == {("a", 1): 25.0, ("a", 3): 0.0, ("a", 4): 50.0, ("a", 5): 0.0, ("b", 1): 0.0, ("b", 2): 0.0, ("b", 3): 0.0, ("b", 4): 0.0}
+    weeks = serving.weekly_counts(daily)
+    assert [str(r.week) for r in serving.hide_future(weeks, F.lit("2022-01-08").cast("date")).where("outlet = 'a'").orderBy("week").collect()] == ["2022-01-02"]
+    assert serving.display_names(weeks, {"a": "A"}).where("outlet = 'A'").count() == 2
+
+
+def test_merge_of_english_names():
+    from newsweft.operators.entities import mergeable, merged_names
+
+    assert mergeable("Ann Lee", "Ann") and not mergeable("Ann Lee", "Lee") and not mergeable("ann lee", "ann")
+    assert mergeable("Ann Mary Lee", "Lee") and mergeable("Mary Lee", "Ann Mary Lee") and not mergeable("Ann Mary Lee", "Ann Mary")
+    assert merged_names(["Ann", "Bob Roy", "Ann Lee", "Roy", "Ann Mary Lee"]) == [("Bob Roy", ["Bob Roy"]), ("Ann Lee", ["Ann", "Ann Lee"]), ("Ann Mary Lee", ["Ann Mary Lee"])]
+
+
+def test_nearest_verb_stays_in_its_sentence():
+    inner = "one two three four five six seven"
+    for text, verb in ((f'Ann said "{inner}" today', "said"), (f'Ann said so. It "{inner}" today', ""), (f'It "{inner}". He said', ""), (f'It "{inner}" he said', "said")):
+        q = quotes.heuristic_quotes(text, quotes.default_tokens(text))
+        assert [x["verb"] for x in q] == [verb]
+
+
 def test_upserts(spark, tmp_path):
     old = spark.createDataFrame([("a", 1, "kept"), ("b", 2, "")], "_id string, n int, comment string")
     new = spark.createDataFrame([("a", 5, ""), ("c", 3, "")], "_id string, n int, comment string")
