@@ -1,35 +1,50 @@
 """Page furniture mixed with the story (problem 7).
 
 A site style tree over text pages: the pages of one host are merged into one tree
-host -> presentation node -> opening node -> content node. A line's presentation is what its
-mark-up would have said (navigation bar, byline, share prompt, teaser label, notice, heading,
-sentence ...), read from separators, labels, cue words and end marks. A content node is the
-line without digits, punctuation, case and look-alikes; an opening node its first two words.
-
-The importance of a node is 1 - H, where H is the entropy of its occurrences over the m pages
-of the host, to the base m: a node on one page has H = 0, one on all pages H = 1. The composite
-importance of a line is its presentation's weight times the least importance along its branch
-(openings count only for lines without an end mark). Branches below the importance of a node
-that stands on ``MIN_SHARE`` of the host's pages (at least ``MIN_PAGES``) are removed, as are
-those whose presentation has no weight.
+host -> presentation node -> opening node -> content node. The pages are plain text, so a line's
+presentation is what its mark-up would have said (navigation bar, byline, share prompt, teaser
+label, notice, heading, sentence ...), read from separators, labels, cue words and end marks. A
+content node is the line without digits, punctuation, case and look-alikes; an opening node the
+first two words of a line without an end mark. Patterns only propose a line's node; what the
+merged pages show decides whether a node stays:
+
+* An opening or content node is as important as 1 - H, where H is the entropy of its occurrences
+  over the m pages of its host, to the base m: a node on one page has H = 0, one on all pages H = 1.
+  Branches are cut whose importance is at most that of a node that stands on ``MIN_SHARE`` of the host's pages (at least ``MIN_PAGES``).
+* A presentation node is as important as the children that are left to it are diverse. Its children are the
+  openings (first word, first two words) and the closings (last two words) of its lines, over the pages of
+  all hosts. Importance is the entropy of the children over that of the most diverse node's, or over the logarithm
+  of the node's lines, whichever is less; the least of the three counts. Stories open and close in ever new ways,
+  templates don't. A node of fewer than ``MIN_LINES`` lines shows nothing and stays; only where
+  there are hardly any pages at all does the pattern alone decide.
+  Presentations less diverse than ``LEAST_DIVERSITY`` are cut with all that is below them.
+
+A line stays if no node of its branch is cut.
 
 Cases: null and empty bodies have no lines; blank lines are no lines; null hosts form one host;
-repeated ids count once; very long bodies are handled whole; extra columns are ignored.
+repeated ids count once; very long bodies are handled whole; extra columns are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsweft.llm.lookalike import fold_text
 from newsweft.llm.repeated_lines import keys_of_folded
 from newsweft.session import cut_lineage
 
 MIN_SHARE, MIN_PAGES = 0.03, 10
+#: Presentation nodes less diverse than this are removed; those of fewer lines than ``MIN_LINES`` show nothing.
+LEAST_DIVERSITY, MIN_LINES = 0.75, 8
+#: Rows up to which the removable nodes of the hosts are broadcast (8 bytes each); beyond, hosts are split by salt.
+BROADCAST_NODES, SALTS = 2_000_000, 32
 
 #: Names of sections as they stand in navigation bars.
 SECTIONS = set(
@@ -43,7 +58,7 @@ SECTIONS = set(
 CUES = {
     "byline": [r"(?:by|par) (?:\S+ ){0,5}\S+$", r"la rédaction, .{1,60}$", r"本文由.{1,40}(?:提供|报道)$"],
     "credit": [r"photos? ?:", r"illustrations? ?(?::|of |de )", r"(?:with files|with reporting) (?:from|by) ", r"avec (?:la collaboration|des informations) d", r"(?:图片|写真|फोटो|صورة|ภาพ) ?[::]", r"this (?:article|story|report|piece) was (?:reported|written|produced) by "],
-    "note": [r".{3,70} is an? .{2,50} and writes (?:about|for) ", r".{3,70} is an? (?:reporter|columnist|journalist|editor) (?:with|at|for) ", r".{3,70} est .{2,50} et (?:écrit|signe une chronique) "],
+    "note": [r".{3,70} is an? .{2,50} and writes (?:about|for) ", r".{3,70} is an? (?:reporter|columnist|journalist|editor) (?:with|at|for) ", r".{3,70} est .{2,50} et (?:écrit|signe une chronique) ", r".{3,70} covers the .{2,40} beat ", r"(?:\S+ ){1,5}couvre (?:les? |la |l.)(?:\S+ ){0,4}\S+ à \S+\.$"],
     "correction": [r"(?:corrections?|clarification|rectificatif|précision|更正|訂正|सुधार|تصحيح|แก้ไข) ?:"],
     "copyright": [r"© ?\d", r"copyright ", r"版权所有", r"this material may not be (?:published|reproduced)", r"toute reproduction ", r"(?:all rights reserved|tous droits réservés)"],
     "cookies": [r"(?:we use|this site (?:uses|stores)|cookies help us|we and our \d+ partners|by continuing you accept) ?(?:.*cookies)?", r"(?:nous utilisons des|ce site emploie des|nos \d+ partenaires déposent des) témoins", r"les témoins (?:servent|nous aident|permettent)", r"(?:en poursuivant|en continuant), vous acceptez"],
@@ -60,8 +75,9 @@ _SPLIT = re.compile(r"\s*[|·>/]\s+|\s{3,}")
 _END = re.compile(r"[.!?…。！？।؟][\"”’»」』)\]]*$")
 _BULLET = re.compile(r"^[•●▪◦‣*]\s*")
 _SPACE = re.compile(r"\s+")
-#: Weight of the presentations; those not named here are furniture whatever they say.
-WEIGHTS = {"sentence": 1.0, "heading": 1.0, "item": 1.0}
+_LETTERS = re.compile(r"[^\W\d_]+")
+#: The presentations of lines that no pattern proposes a node for.
+UNMARKED = {"sentence", "heading"}
 
 
 def presentation(line: str) -> str:
@@ -77,58 +93,99 @@ def presentation(line: str) -> str:
         if m.lastgroup == "byline" and _END.search(text):
             return "sentence"
         return m.lastgroup
-    if _END.search(text):
-        return "sentence"
-    return "item" if line.lstrip().startswith(("-", "–", "—")) else "heading"
+    return "sentence" if _END.search(text) else "heading"
 
 
-def page_nodes(body: str | None) -> tuple[list[int], list[str], list[int], list[int]]:
-    """Of each line with text: number, presentation, key of its opening (0 if it doesn't count), key of its content."""
-    from xxhash import xxh3_64_intdigest
+def page_nodes(body: str | None) -> list[tuple]:
+    """Of each line with text: number, presentation, keys of its first word, first two and last two words, of its opening node (0 for none) and of its content node."""
+    from xxhash import xxh3_64_intdigest, xxh32_intdigest
 
     if not body:
-        return [], [], [], []
+        return []
     folded = fold_text(body)
-    numbers, styles, openings = [], [], []
-    lines = folded.split("\n")
-    for n, line in enumerate(lines, 1):
+    keys, out = keys_of_folded(folded), []
+    for n, line in enumerate(folded.split("\n"), 1):
         if not line or line.isspace():
             continue
-        style = presentation(line)
-        numbers.append(n)
-        styles.append(style)
+        style, found = presentation(line), _LETTERS.findall(line)
+        ends = [xxh32_intdigest(" ".join(w)) - (1 << 31) for w in (found[:1], found[:2], found[-2:])]
         first = line.split(None, 3) if style == "heading" else ()
-        openings.append(xxh3_64_intdigest(" ".join(first[:2])) - (1 << 63) if len(first) > 2 else 0)
-    keys = keys_of_folded(folded)
-    return numbers, styles, openings, [keys[n - 1] for n in numbers]
+        out.append((n, style, *ends, xxh3_64_intdigest(" ".join(first[:2])) - (1 << 63) if len(first) > 2 else 0, keys[n - 1]))
+    return out
+
+
+_LINE = pa.struct([("line_no", pa.int32()), ("style", pa.string()), ("first", pa.int32()), ("first2", pa.int32()), ("last2", pa.int32()), ("opening", pa.int64()), ("content", pa.int64())])
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [f.name for f in _LINE]
     for batch in batches:
-        pages = [page_nodes(b) for b in batch.column("body").to_pylist()]
-        kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64())
-        columns = [pa.array([p[k] for p in pages], pa.list_(t)) for k, t in enumerate(kinds)]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("host"), *columns], ["id", "host", "line_no", "style", "opening", "content"])
+        lines = pa.array([[dict(zip(names, x)) for x in page_nodes(b)] for b in batch.column("body").to_pylist()], pa.list_(_LINE))
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("host"), lines], ["id", "host", "lines"])
 
 
-def furniture_lines(rows: DataFrame, id_col: str = "_id", host_col: str = "outlet", text_col: str = "body") -> DataFrame:
-    """(id, lines array<int>): the numbers of the lines outside the story, for pages that have any."""
+def page_lines(rows: DataFrame, id_col: str = "_id", host_col: str = "outlet", text_col: str = "body") -> DataFrame:
+    """(id, host, lines) of every page once."""
     pages = rows.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.coalesce(F.col(host_col), F.lit("")).alias("host"), F.col(text_col).alias("body"))
-    nodes = pages.mapInArrow(_nodes, "id string, host string, line_no array<int>, style array<string>, opening array<bigint>, content array<bigint>")
-    nodes = nodes.select("id", "host", F.arrays_zip("line_no", "style", "opening", "content").alias("lines"))
-    nodes = cut_lineage(nodes.groupBy("id").agg(F.min("host").alias("host"), F.first("lines").alias("lines")))
-
+    nodes = pages.mapInArrow(_nodes, "id string, host string, lines array<struct<line_no int, style string, first int, first2 int, last2 int, opening bigint, content bigint>>")
+    return cut_lineage(nodes.groupBy("id").agg(F.min("host").alias("host"), F.first("lines").alias("lines")))
+
+
+def presentation_importance(lines: DataFrame, pages: int) -> dict[str, float]:
+    """The importance of every presentation node by the entropy of its children; ``lines``: a struct ``x`` for each line. A few rows for each node come to the driver."""
+    slot = lambda name: F.struct(F.lit(name).alias("slot"), F.col(f"x.{name}").alias("key"))
+    each = lines.select("x.style", F.explode(F.array(*map(slot, ("first", "first2", "last2")))).alias("c"))
+    counts = each.groupBy("style", "c.slot", "c.key").agg(F.count("*").alias("k"))
+    rows = counts.groupBy("style", "slot").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.log2("k")).alias("s")).collect()
+    most, out = defaultdict(float), {}
+    for r in rows:
+        most[r["slot"]] = max(most[r["slot"]], math.log2(r["n"]) - r["s"] / r["n"])
+    for r in rows:
+        style, n = r["style"], r["n"]
+        if n < MIN_LINES:
+            out[style] = 0.0 if pages < MIN_LINES and style not in UNMARKED else 1.0
+        else:
+            out[style] = min(out.get(style, 1.0), (math.log2(n) - r["s"] / n) / max(min(math.log2(n), most[r["slot"]]), 1e-9))
+    return out
+
+
+def _entropy(pages: Column) -> Column:
+    """Of a node that stands once on each of some pages, to the base of all pages m."""
+    return F.log(pages.cast("double")) / F.log(F.greatest(F.col("m").cast("double"), F.lit(2.0)))
+
+
+def style_tree(nodes: DataFrame) -> DataFrame:
+    """(host, level, node, pages, m, importance) of the opening and content nodes that stand on ``MIN_PAGES`` pages."""
+    of = lambda level: F.transform("lines", lambda x: F.struct(F.lit(level).alias("level"), x[level].alias("node")))
+    support = nodes.select("host", F.explode(F.array_distinct(F.concat(of("content"), of("opening")))).alias("k")).where("k.node <> 0")
+    support = support.groupBy("host", "k.level", "k.node").agg(F.count("*").alias("pages")).where(F.col("pages") >= MIN_PAGES)
     m = nodes.groupBy("host").agg(F.count("*").alias("m"))
-    story = F.filter("lines", lambda x: x["style"].isin(*WEIGHTS))
-    keys = F.array_distinct(F.concat(F.transform(story, lambda x: x["content"]), F.transform(F.filter(story, lambda x: x["style"] == "heading"), lambda x: x["opening"])))
-    support = nodes.select("host", F.explode(keys).alias("node")).where("node <> 0").groupBy("host", "node").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES)
-    entropy = lambda n: F.log(n) / F.log(F.greatest(F.col("m").cast("double"), F.lit(2.0)))
-    least = 1 - entropy(F.greatest(F.lit(float(MIN_PAGES)), F.col("m") * MIN_SHARE))
-    low = cut_lineage(support.join(m, "host").where(1 - entropy(F.col("n").cast("double")) <= least + 1e-12).groupBy("host").agg(F.collect_set("node").alias("low")))
+    return support.join(m, "host").select("host", "level", "node", "pages", "m", (1 - _entropy(F.col("pages"))).alias("importance"))
+
+
+def furniture_reasons(rows: DataFrame, id_col: str = "_id", host_col: str = "outlet", text_col: str = "body") -> DataFrame:
+    """(id, lines array<struct<line_no, style, reason>>): the lines outside the story, and the level of the tree at which their branch is cut."""
+    nodes = page_lines(rows, id_col, host_col, text_col)
+    least = 1 - _entropy(F.greatest(F.lit(float(MIN_PAGES)), F.col("m") * MIN_SHARE))
+    # a host's low nodes number at most twice its lines a page over MIN_SHARE (its lines over MIN_PAGES where it has few pages)
+    low = cut_lineage(style_tree(nodes).where(F.col("importance") <= least + 1e-12).groupBy("host").agg(F.collect_set("node").alias("low")))
+    if (low.agg(F.sum(F.size("low"))).first()[0] or 0) <= BROADCAST_NODES:
+        joined = nodes.join(F.broadcast(low), "host", "left")
+    else:
+        salted = low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = nodes.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left")
+    has = lambda key: F.coalesce(F.array_contains("low", key) & (key != 0), F.lit(False))
+    cut = lambda x: has(x["content"]) | has(x["opening"])
+    important = presentation_importance(joined.select(F.explode(F.filter("lines", lambda x: ~cut(x))).alias("x")), nodes.count())
+    dull = [s for s, v in important.items() if v < LEAST_DIVERSITY]
+    reason = lambda x: F.when(has(x["content"]), "content").when(has(x["opening"]), "opening").when(x["style"].isin(*dull, ""), "presentation")
+    marked = F.filter(F.transform("lines", lambda x: F.struct(x["line_no"].alias("line_no"), x["style"].alias("style"), reason(x).alias("reason"))), lambda x: x["reason"].isNotNull())
+    return joined.select(F.col("id").alias(id_col), marked.alias("lines")).where(F.size("lines") > 0)
 
-    joined = nodes.join(low, "host", "left")
-    gone = F.filter("lines", lambda x: ~x["style"].isin(*WEIGHTS) | F.coalesce(F.array_contains("low", x["content"]) & (x["content"] != 0), F.lit(False)) | F.coalesce(F.array_contains("low", x["opening"]) & (x["opening"] != 0), F.lit(False)))
-    return joined.select(F.col("id").alias(id_col), F.transform(gone, lambda x: x["line_no"]).alias("lines")).where(F.size("lines") > 0)
+
+def furniture_lines(rows: DataFrame, id_col: str = "_id", host_col: str = "outlet", text_col: str = "body") -> DataFrame:
+    """(id, lines array<int>): the numbers of the lines outside the story, for pages that have any."""
+    return furniture_reasons(rows, id_col, host_col, text_col).withColumn("lines", F.transform("lines", lambda x: x["line_no"]))
 
 
 def main_text(rows: DataFrame, id_col: str = "_id", host_col: str = "outlet", text_col: str = "body") -> DataFrame:
@@ -140,3 +197,8 @@ def main_text(rows: DataFrame, id_col: str = "_id", host_col: str = "outlet", te
 
 def found(articles: DataFrame) -> DataFrame:
     return furniture_lines(articles).select("_id", F.explode("lines").alias("line_no"))
+
+
+def cuts_by_level(articles: DataFrame) -> DataFrame:
+    """(reason, style, lines): how many lines each level of the tree removes."""
+    return furniture_reasons(articles).select(F.explode("lines").alias("x")).groupBy("x.reason", "x.style").agg(F.count("*").alias("lines"))

@@ -111,8 +111,15 @@ def p7_story(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(_bodies(spark, sf_dir)).select("_id", "body")
 
 
+def p7_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines each level of the style tree removes, by presentation."""
+    from newsweft.llm.boilerplate import cuts_by_level
+
+    return cuts_by_level(_t(spark, sf_dir, "articles"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_clusters": p1_clusters, "p2_classes": p2_classes, "p4_text": p4_text, "p5_clean": p5_clean, "p7_story": p7_story, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_rates": p10_rates}
+    return {"p1_found": p1_found, "p1_clusters": p1_clusters, "p2_classes": p2_classes, "p4_text": p4_text, "p5_clean": p5_clean, "p7_story": p7_story, "p7_reasons": p7_reasons, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_rates": p10_rates}
 
 
 def oracle_sql() -> dict[str, str]:

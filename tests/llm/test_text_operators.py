@@ -134,6 +134,27 @@ def test_boilerplate(spark):
     assert boilerplate.found(articles(spark, [])).count() == 0
 
 
+WORDS = [f"{a}{b}" for a in "bdfgklmnprstvz" for b in ("ado", "eru", "ilo", "opa", "uti", "aken", "iros", "ulem")]
+
+
+def test_style_tree_decides(spark):
+    """Furniture that no pattern knows goes by its nodes in the tree; a story line that looks like a prompt stays; a template goes though each line is new."""
+    rng = random.Random(8)
+    some = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    rows = []
+    for k in range(60):
+        lines = [f"{some(9)}." for _ in range(4)] + [some(4), some(5)] + ["Zebra circle members dine free", f"Gazebo picks {some(4)}", f"Related: {some(5)}", f"{some(2)} is a {some(1)} and writes about {some(1)} every {['Monday', 'Friday'][k % 2]}."]
+        if k == 7:
+            lines.append(f"Listen to this story from the barge, {some(3)}")
+        rows.append((f"{k:02d}", "x", "\n".join(lines)))
+    got = {}
+    for r in boilerplate.found(articles(spark, rows)).collect():
+        got.setdefault(r._id, set()).add(r.line_no)
+    assert all(got[i] == {7, 8, 9, 10} for i, _, _ in rows)
+    reasons = {(r.reason, r.style): r.lines for r in boilerplate.cuts_by_level(articles(spark, rows)).collect()}
+    assert reasons == {("content", "heading"): 60, ("opening", "heading"): 60, ("presentation", "teaser"): 60, ("presentation", "note"): 60}
+
+
 def test_tokenizer_round_trip(spark):
     texts = ["Hello world's  end\n\n x", "", None, "   ", "日本語 ไทย 🙂", "<|endoftext|> a", "a" * 30000, "it's 1,234 　x \t\n", "é \x85  z"]
     docs = spark.createDataFrame([(k, t, "clash") for k, t in enumerate([*texts, texts[0]])], "doc_id long, text string, word string")
