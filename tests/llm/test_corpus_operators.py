@@ -139,6 +139,32 @@ def test_components_of_long_paths(spark):
     assert got == {k: 0 for k in nodes} | {1000 + k: 1000 for k in far}
 
 
+def test_kneser_ney_sums_to_one():
+    """Brute force: every context's probabilities add up to one, and all n-grams count as the formula says."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    sentences = [rng.integers(1, 7, size=rng.integers(1, 9)) for _ in range(40)]
+    base = np.array([0.0, 1, 2, 3, 4, 5, 6])
+    model = toxicity.KneserNey(toxicity._grams(sentences), base / base.sum())
+    every = np.arange(7)
+    for u, v in itertools.product(range(7), range(7)):
+        p = model.probability(np.full(7, u), np.full(7, v), every)
+        assert abs(p.sum() - 1) < 1e-9 and (p >= 0).all()
+    rows = [tuple([0, 0, *s][k : k + 3]) for s in sentences for k in range(len(s))]
+    c3 = Counter(rows)
+    c2 = Counter((v, w) for _, v, w in c3)
+    c1 = Counter(w for _, w in c2)
+    d = lambda n: (0, 1.0, 0.9, 0.75)[min(n, 3)]
+    for u, v, w in list(c3)[:50]:
+        p = (c1[w] - d(c1[w]) + sum(map(d, c1.values())) * base[w] / base.sum()) / sum(c1.values())
+        two = {x: n for (y, x), n in c2.items() if y == v}
+        p = (two[w] - d(two[w]) + sum(map(d, two.values())) * p) / sum(two.values())
+        three = {x: n for (y, z, x), n in c3.items() if (y, z) == (u, v)}
+        p = (three[w] - d(three[w]) + sum(map(d, three.values())) * p) / sum(three.values())
+        assert abs(p - model.probability(np.array([u]), np.array([v]), np.array([w]))[0]) < 1e-9
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(4)
     nice = lambda: f"The {rng.choice(WORDS)} in {rng.choice(WORDS)} was {rng.choice(['sold', 'closed', 'painted'])} on {rng.choice(['Monday', 'Friday'])}."
@@ -163,6 +189,10 @@ def test_toxicity_held_out(spark):
     rates = {r.source: (r.documents, r.flagged) for r in toxicity.source_rates(d, m).collect()}
     assert sum(n for n, _ in rates.values()) == 403 and None in rates
     assert toxicity.found(d, m.where("false")).count() == 0
+    unscored = toxicity.source_rates(d, m.where("false")).collect()
+    assert {r.source for r in unscored} == set(rates) and all(r.rate is None and r.reason for r in unscored)
+    few = m.where("doc_id < 24")  # six toxic documents: the same rule, still something found
+    assert len({r.doc_id for r in toxicity.found(d, few).collect()} & want) >= 40
     assert toxicity.score_documents(d.where("false"), m).count() == 0
 
 
