@@ -3,8 +3,9 @@
 Look-alike relations between strings and code points (full-width forms and ligatures with
 their parts, letters with combining accents and the composed letters, kinds of spaces, of
 hyphens, invisible characters and nothing, letters of related alphabets) are closed to
-transitive classes by union-find. Of every class the ordinary member most frequent in the
-corpus becomes the representative; compatibility forms never do, plain ASCII goes first. A text is rewritten greedily, leftmost and
+transitive classes by union-find. The member of a class that is most frequent in the corpus
+becomes its representative; ordinary (normalised) forms begin with ``PRIOR`` occurrences, so that they win where a
+corpus says little, and ties go to ASCII. A text is rewritten greedily, leftmost and
 longest first, by an Aho-Corasick automaton over all other members. Members that are letters
 of another alphabet are rewritten only inside words that mix alphabets, towards the alphabet
 most of the word's letters have; words wholly in one alphabet stay.
@@ -28,8 +29,8 @@ from pyspark.sql import DataFrame, functions as F
 #: Letters of other alphabets and the Latin letters they look like.
 CONFUSABLE = dict(
     zip(
-        "аеорсухіјѕһԁԛԝӏАВЕКМНОРСТУХІЈЅԌԚԜ" + "οανρυικΑΒΕΖΗΙΚΜΝΟΡΤΥΧ" + "օոսհ",
-        "aeopcyxijshdqwlABEKMHOPCTYXIJSGQW" + "oavpuikABEZHIKMNOPTYX" + "onuh",
+        "аеорсухіјѕһԁԛԝӏѵАВЕКМНОРСТУХІЈЅԌԚԜѴ" + "οανρυικϲϳΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ" + "օոսհցզՕՍՏԼ" + "ᎠᎡᎢᎪᎫᎬᎳᎷᎻᏀᏃᏙᏚᏞᏟᏢᏦᏴ",
+        "aeopcyxijshdqwlvABEKMHOPCTYXIJSGQWV" + "oavpuikcjABEZHIKMNOPTYXCJ" + "onuhgqOUSL" + "DRTAJEWMHGZVSLCPKB",
     )
 )
 #: Spaces, hyphens and invisible characters other than the ordinary ones.
@@ -37,6 +38,9 @@ SPACES = "               　"
 HYPHENS = "‐‑‒⁃﹣－"
 INVISIBLE = "­͏؜ᅟᅠ឴឵᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩︎️﻿"
 
+#: Occurrences that ordinary forms begin with when representatives are chosen.
+PRIOR = 1000
+
 #: Lower-case forms of capitals that look alike, for comparisons that ignore case.
 _FOLD = {c: t.lower() for c, t in CONFUSABLE.items()} | {c.lower(): t.lower() for c, t in CONFUSABLE.items() if c.isupper() and c.lower() not in CONFUSABLE}
 _FOLD |= dict.fromkeys(SPACES, " ") | dict.fromkeys(HYPHENS, "-") | dict.fromkeys(INVISIBLE, "")
@@ -83,7 +87,7 @@ class Classes:
 
 
 def _alphabet(c: str) -> str:
-    """latin, greek, cyrillic, armenian or '' for every other character."""
+    """latin, greek, cyrillic, armenian, cherokee or '' for every other character."""
     n = ord(c)
     if n < 0x80:
         return "latin" if c.isalpha() else ""
@@ -93,6 +97,8 @@ def _alphabet(c: str) -> str:
         return "greek" if c.isalpha() else ""
     if 0x400 <= n <= 0x52F:
         return "cyrillic" if c.isalpha() else ""
+    if 0x13A0 <= n <= 0x13FF or 0xAB70 <= n <= 0xABBF:
+        return "cherokee"
     return "armenian" if 0x530 <= n <= 0x58F and c.isalpha() else ""
 
 
@@ -100,13 +106,16 @@ def _alphabet(c: str) -> str:
 def relations() -> list[tuple[str, str]]:
     """Pairs of strings that look alike."""
     pairs = [(c, " ") for c in SPACES] + [(c, "-") for c in HYPHENS] + [(c, "") for c in INVISIBLE]
-    ranges = [(0xFF10, 0xFF19), (0xFF21, 0xFF3A), (0xFF41, 0xFF5A), (0xFB00, 0xFB06), (0xFB13, 0xFB17), (0xFB50, 0xFDFB), (0xFE70, 0xFEFC)]
+    # full-width digits and letters, joined Latin, Armenian and Arabic letters, letter symbols, half-width kana and Hangul, mathematical letters and digits
+    ranges = [(0xFF10, 0xFF19), (0xFF21, 0xFF3A), (0xFF41, 0xFF5A), (0xFB00, 0xFB06), (0xFB13, 0xFB17), (0xFB50, 0xFDFB), (0xFE70, 0xFEFC), (0x2100, 0x214F), (0xFF66, 0xFFDC), (0x1D400, 0x1D7FF)]
     for low, high in ranges:
         for n in range(low, high + 1):
             plain = unicodedata.normalize("NFKC", chr(n))
             if plain != chr(n) and unicodedata.category(chr(n))[0] in "LN":
                 pairs.append((chr(n), plain))
-    for n in range(0xC0, 0x3100):
+                if 0xFF66 <= n <= 0xFF9D:  # half-width kana carry their voice marks behind them
+                    pairs += [(chr(n) + mark, voiced) for mark in "ﾞﾟ" if len(voiced := unicodedata.normalize("NFKC", chr(n) + mark)) == 1]
+    for n in (*range(0xC0, 0x3100), *range(0xAC00, 0xD7A4)):
         parts = unicodedata.normalize("NFD", chr(n))
         if len(parts) > 1 and unicodedata.normalize("NFC", parts) == chr(n) and unicodedata.category(chr(n))[0] == "L":
             pairs.append((parts, chr(n)))
@@ -123,7 +132,8 @@ class Rewriter:
 
         def often(x: str) -> int:
             plain = len(x) > 1 and not any(map(unicodedata.combining, x))
-            return min(counts.get(c, 0) for c in x) if plain else counts.get(x, 0)
+            seen = min(counts.get(c, 0) for c in x) if plain else counts.get(x, 0)
+            return seen + PRIOR * (unicodedata.normalize("NFKC", x) == x)
 
         classes = Classes()
         for a, b in relations():
@@ -132,7 +142,7 @@ class Rewriter:
         self.across: set[str] = set()
         self.by_class: dict[str, dict[str, str]] = {}
         for group in classes.members().values():
-            rank = lambda x: (unicodedata.normalize("NFKC", x) != x, not x.isascii(), -often(x), len(x), x)
+            rank = lambda x: (-often(x), not x.isascii(), len(x), x)
             best = "" if "" in group else min(group, key=rank)
             own = {}
             for x in sorted(group, key=rank):
@@ -141,14 +151,14 @@ class Rewriter:
             for x in group:
                 if x == best:
                     continue
-                if len(own) > 1 and len(x) == 1 and _alphabet(x) != "latin":
+                if len(own) > 1 and len(x) == 1 and _alphabet(x) not in ("", "latin"):
                     self.across.add(x)
                     self.by_class[x] = own
                 elif len(own) > 1 and x.isascii() and x:
                     self.by_class[x] = own
                     self.across.add(x)
                 else:
-                    near = own.get(_alphabet(x[0]), best) if x else best
+                    near = own.get(_alphabet(unicodedata.normalize("NFKC", x)[:1] or " "), best) if x else best
                     if near != x:
                         self.to[x] = near
             if len(own) > 1 and best:
@@ -157,10 +167,11 @@ class Rewriter:
         for x, target in self.to.items():
             self.automaton.add_word(x, (x, target))
         self.automaton.make_automaton()
-        foreign = "Ͱ-ϿЀ-ԯ԰-֏ἀ-῿"
+        foreign = "Ͱ-ϿЀ-ԯ԰-֏ἀ-῿Ꭰ-᏿ꭰ-ꮿ"
         self.foreign = re.compile(f"[{foreign}]")
         self.letters = re.compile(r"[^\W\d_]+")
-        single = {x[0] for x in self.to if not x[0].isascii()} | {x[1] for x in self.to if len(x) > 1 and unicodedata.combining(x[1])}
+        self.ascii_stays = not any(map(str.isascii, self.to))
+        single = {x[0] for x in self.to if not x[0].isascii() or len(x) == 1} | {x[1] for x in self.to if len(x) > 1 and unicodedata.combining(x[1])}
         self.suspect = re.compile("[" + re.escape("".join(sorted(single))) + foreign + "]")
 
     def _word(self, m: re.Match) -> str:
@@ -172,8 +183,12 @@ class Rewriter:
         home = max(seen, key=lambda a: (sure[a], seen[a], a == "latin"))
         return "".join(self.by_class[c].get(home, c) if c in self.by_class and _alphabet(c) not in ("", home) else c for c in word)
 
+    def plain(self, text: str) -> bool:
+        """Whether nothing in the text can change."""
+        return self.ascii_stays and text.isascii() or not self.suspect.search(text)
+
     def rewrite(self, text: str) -> str:
-        if text.isascii() or not self.suspect.search(text):
+        if self.plain(text):
             return text
         out, at = [], 0
         for end, (x, target) in self.automaton.iter_long(text):
@@ -190,7 +205,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import numpy as np
 
     strange = re.compile(r"[^\x00-\x7f]")
-    marked = re.compile("[^\\W\\d_][̀-゙゚ͯ]+")
+    marked = re.compile("[^\\W\\d_][\u0300-\u036f\u3099\u309a]+|[\u1100-\u1112][\u1161-\u1175][\u11a8-\u11c2]?|[\uff66-\uff9d][\uff9e\uff9f]")
     ascii_counts, others = np.zeros(128, dtype=np.int64), Counter()
     for batch in batches:
         for text in batch.column("text").to_pylist():
@@ -220,7 +235,7 @@ def _strange_items(counts: dict[str, int]):
         rewriter = Rewriter(counts)
         changed = lambda items: [n for n, x in enumerate(items, 1) if x and rewriter.rewrite(x) != x]
         for batch in batches:
-            bodies = [[] if b is None or b.isascii() or not rewriter.suspect.search(b) else changed(b.split("\n")) for b in batch.column("body").to_pylist()]
+            bodies = [[] if b is None or rewriter.plain(b) else changed(b.split("\n")) for b in batch.column("body").to_pylist()]
             people = [[] if p is None else changed(p) for p in batch.column("people").to_pylist()]
             yield pa.RecordBatch.from_pydict({"_id": batch.column("_id").to_pylist(), "body": bodies, "people": people}, kinds)
 
@@ -234,8 +249,8 @@ def found(articles: DataFrame) -> DataFrame:
     counts = corpus_counts(texts.unionByName(names))
     rows = articles.select("_id", "body", "people").mapInArrow(_strange_items(counts), "_id string, body array<int>, people array<int>")
     rows = rows.where("size(body) + size(people) > 0").groupBy("_id").agg(F.first("body").alias("body"), F.first("people").alias("people"))
-    body = rows.select("_id", F.lit("body").alias("field"), F.explode("body").alias("item_no"))
-    return body.unionByName(rows.select("_id", F.lit("people").alias("field"), F.explode("people").alias("item_no")))
+    items = lambda field: F.transform(field, lambda n: F.struct(F.lit(field).alias("field"), n.alias("item_no")))
+    return rows.select("_id", F.explode(F.concat(items("body"), items("people"))).alias("x")).select("_id", "x.field", "x.item_no")
 
 
 def canonicalise(rows: DataFrame, column: str, counts: dict[str, int] | None = None) -> DataFrame:

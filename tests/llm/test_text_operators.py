@@ -77,6 +77,23 @@ def test_lookalikes():
     assert lookalike.fold_text("ＢＹ Тhе Ｓtaff") == "by the staff"
 
 
+def test_more_lookalikes():
+    r = lookalike.Rewriter()
+    for x, want in {"𝐇𝐞𝐥𝐥𝐨": "Hello", "ｶﾞｽ": "ガス", "한국": "한국", "ᎳEST": "WEST", "ϲat": "cat", "ℎe": "he"}.items():
+        assert r.rewrite(x) == want and r.rewrite(want) == want
+    for x in ("ᏣᎳᎩ", "① ⓐ ™", "ガス", "x² H₂O"):
+        assert r.rewrite(x) == x
+
+
+def test_frequency_chooses_representatives(spark):
+    """The hyphen, or the form of an accented letter, that a corpus writes mostly becomes the one form; without counts it would not."""
+    texts = spark.createDataFrame([("well‐known café " * 3000,), ("well-known café",)], "text string")
+    counts = lookalike.corpus_counts(texts)
+    assert lookalike.Rewriter(counts).rewrite("well-known") == "well‐known" and lookalike.Rewriter().rewrite("well‐known") == "well-known"
+    apart = lookalike.corpus_counts(spark.createDataFrame([("cafe\u0301 " * 3000,)], "text string"))
+    assert lookalike.Rewriter(apart).rewrite("café") == "cafe\u0301" and lookalike.Rewriter(counts).rewrite("cafe\u0301") == "café"
+
+
 def test_lookalike_table(spark):
     rows = [("a", "x", "fine\nﬂoor\n\nok", ["Ann", None, "Аnn"]), ("a", "x", "fine\nﬂoor\n\nok", ["Ann", None, "Аnn"]), ("b", None, None, None), ("c", "x", "", [])]
     got = {tuple(r) for r in lookalike.found(articles(spark, rows)).collect()}
