@@ -85,6 +85,15 @@ def test_more_lookalikes():
         assert r.rewrite(x) == x
 
 
+def test_suspects_are_ranges():
+    """Characters beyond U+FFFF are tried one by one on every character of a text, so they have to be few ranges; what changes is found all the same."""
+    r = lookalike.Rewriter()
+    beyond = sum(ord(c) > 0xFFFF for c in r.suspect.pattern) + r.suspect.pattern.count("\\U0001")
+    assert 0 < beyond < 100
+    assert all(map(r.suspect.search, r.to)) and r.rewrite("𝟗 𝐀") == "9 A"
+    assert not r.suspect.search("The “café” of São Tomé, 東京 한국 € ½ 🙂")
+
+
 def test_frequency_chooses_representatives(spark):
     """The hyphen, or the form of an accented letter, that a corpus writes mostly becomes the one form; without counts it would not."""
     texts = spark.createDataFrame([("well‐known café " * 3000,), ("well-known café",)], "text string")
