@@ -60,6 +60,17 @@ def test_near_duplicates_without_common_runs(spark):
     assert {tuple(r) for r in near_duplicates.found(a).collect()} == want and len(want) >= 30
 
 
+def test_near_duplicates_of_an_id_with_two_bodies(spark):
+    """An id counts once, with one of its bodies, and neither body stands for the words of the other, in whatever order the rows come."""
+    rng = random.Random(8)
+    bases = {k: rng.sample(WORDS, 60) for k in "ab"}
+    rows = [("1", bases["a"]), ("1", bases["b"])] + [(f"{k}{n}", ["new"] * n + bases[k][n:]) for k in bases for n in (2, 3)]
+    found = [{tuple(r) for r in near_duplicates.found(spark.createDataFrame([(i, " ".join(w) + ".") for i, w in order], "_id string, body string")).collect()} for order in (rows, rows[::-1])]
+    own = {("1", "a2"), ("1", "a3")}, {("1", "b2"), ("1", "b3")}
+    assert found[0] == found[1] and found[0] - own[0] - own[1] == {("a2", "a3"), ("b2", "b3")}
+    assert any(found[0] >= x and not found[0] & y for x, y in (own, own[::-1]))
+
+
 def test_trie_equals_pairwise():
     rng = random.Random(2)
     sets = [sorted(rng.sample(range(60), rng.randint(10, 40))) for _ in range(60)]
